@@ -13,7 +13,7 @@ from wardflow.functions.casts import OPEN_ENDED_DATES
 from wardflow.plans import audits, intermediate, marts, reports, staging, suite
 from wardflow.session import materialize
 from wardflow.sources import reference_rows
-from wardflow.sources.sample_inputs import sample_sources
+from wardflow.sources.sample_inputs import SampleInputs
 from wardflow.sources.schemas import PROVIDER_DATES
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -32,7 +32,7 @@ class Frames:
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
-        self.raw = sample_sources(spark, folder)
+        self.raw = SampleInputs(spark, folder)
 
     @cached_property
     def metrics(self) -> DataFrame:

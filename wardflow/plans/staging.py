@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -47,31 +47,28 @@ def raw(name: str) -> Column:
     return F.col(f"`{name}`")
 
 
-def stg_hrrp_metrics(raw_metrics: DataFrame) -> DataFrame:
-    """Typed outcome metrics, one row per facility and measure."""
+def _typed(targets: Mapping[str, tuple[str, Sequence[str]]]) -> dict[str, Column]:
+    return {name: casts.sentinel_cast(raw(name), *target) for name, target in targets.items()}
 
-    def typed(name: str) -> Column:
-        if name in METRIC_CASTS:
-            return casts.sentinel_cast(raw(name), *METRIC_CASTS[name])
-        return raw(name).cast("bigint") if name == "Facility ID" else raw(name)
 
-    return raw_metrics.select(*[typed(old).alias(new) for old, new in METRIC_NAMES.items()])
+def stg_hrrp_metrics(raw_metrics: DataFrame) -> DataFrame:
+    """Typed outcome metrics, one row per facility and measure."""
+    typed = _typed(METRIC_CASTS) | {"Facility ID": raw("Facility ID").cast("bigint")}
+    return (
+        raw_metrics.select(*METRIC_NAMES).withColumns(typed).withColumnsRenamed(METRIC_NAMES)
+    )
 
 
 def stg_admissions(
     raw_hospitals: DataFrame, excluded_owners: Sequence[str] = FEDERAL_OWNERS
 ) -> DataFrame:
     """Typed hospital attributes; federal and unknown owners are left out."""
-
-    def typed(name: str) -> Column:
-        if name in HOSPITAL_YES_NO:
-            return casts.yes_no(raw(name))
-        if name in HOSPITAL_CASTS:
-            return casts.sentinel_cast(raw(name), *HOSPITAL_CASTS[name])
-        return raw(name)
-
-    return raw_hospitals.where(~raw("Hospital Ownership").isin(*excluded_owners)).select(
-        *[typed(old).alias(new) for old, new in HOSPITAL_NAMES.items()]
+    typed = _typed(HOSPITAL_CASTS) | {name: casts.yes_no(raw(name)) for name in HOSPITAL_YES_NO}
+    return (
+        raw_hospitals.where(~raw("Hospital Ownership").isin(*excluded_owners))
+        .select(*HOSPITAL_NAMES)
+        .withColumns(typed)
+        .withColumnsRenamed(HOSPITAL_NAMES)
     )
 
 
@@ -97,13 +94,15 @@ def stg_providers(
         F.col(name).desc_nulls_last()
         for name in ("fiscalYearBeginDate", "effectiveDate", "exportDate", "lastUpdated")
     ]
-
-    def typed(name: str) -> Column:
-        if name not in PROVIDER_DATES:
-            return F.col(name)
-        open_ended = casts.OPEN_ENDED_DATES if name == "terminationDate" else ()
-        return casts.yyyymmdd_to_date(name, open_ended)
-
-    return latest_per_key(in_scope, "providerCcn", newest_first).select(
-        *[typed(old).alias(new) for old, new in PROVIDER_NAMES.items()]
+    days = {
+        name: casts.yyyymmdd_to_date(
+            name, casts.OPEN_ENDED_DATES if name == "terminationDate" else ()
+        )
+        for name in PROVIDER_DATES
+    }
+    return (
+        latest_per_key(in_scope, "providerCcn", newest_first)
+        .select(*PROVIDER_NAMES)
+        .withColumns(days)
+        .withColumnsRenamed(PROVIDER_NAMES)
     )

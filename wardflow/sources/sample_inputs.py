@@ -6,10 +6,11 @@ provider records, so every input grows with the tables it comes from.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from functools import cached_property
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardflow.sources.readers import Sources
 from wardflow.sources.reference_rows import MEASURE_CODES, provider_type_codes
 from wardflow.sources.schemas import HOSPITAL_NAMES, PROVIDER_NAMES, RAW_PROVIDERS
 
@@ -48,42 +49,43 @@ OWNERS = (
 )
 
 
-def _pick(values, position: Column) -> Column:
-    """Value at a zero-based position of a fixed list."""
-    return F.get(F.array(*[F.lit(value) for value in values]), position.cast("int"))
+def _pick(values, position: str) -> str:
+    """SQL for the value at a zero-based position of a fixed list."""
+    listed = ", ".join(f"'{value}'" for value in values)
+    return f"get(array({listed}), CAST({position} AS INT))"
 
 
-def facility_number(key: Column) -> Column:
+def facility_number(key: str) -> str:
     """Distinct hospital number per key: five or six digits for the first 990,000."""
-    scattered = (key * 123457) % 990000 + 10000
-    return scattered + F.floor(key / 990000) * 1000000
+    return f"(({key}) * 123457 % 990000 + 10000 + 1000000 * (({key}) div 990000))"
+
 
+def ccn(key: str) -> str:
+    text = f"CAST({facility_number(key)} AS STRING)"
+    return f"CASE WHEN length({text}) < 6 THEN lpad({text}, 6, '0') ELSE {text} END"
 
-def ccn(key: Column) -> Column:
-    text = facility_number(key).cast("string")
-    return F.when(F.length(text) < 6, F.lpad(text, 6, "0")).otherwise(text)
+
+def _select(df: DataFrame, columns: dict[str, str]) -> DataFrame:
+    return df.selectExpr(*[f"{text} AS `{name}`" for name, text in columns.items()])
 
 
 def admission_events(orders: DataFrame, supplier: DataFrame) -> DataFrame:
     """One admission per order; one in about twenty hospitals is unknown elsewhere."""
-    hospitals = supplier.agg(
-        (F.count("*") + 1 + F.floor(F.count("*") / 20)).alias("n")
-    ).scalar()
-    key = F.col("o_orderkey")
-    stay = (key % 7 + 1).cast("int")
-    admitted = F.col("o_orderdate").cast("date")
-    return orders.select(
-        key.cast("string").alias("admission_id"),
-        F.col("o_custkey").cast("string").alias("patient_id"),
-        facility_number(key % hospitals).alias("facility_id"),
-        admitted.alias("admission_date"),
-        F.date_add(admitted, stay).alias("discharge_date"),
-        F.when(F.col("o_orderpriority") == "5-LOW", "Planned")
-        .when(F.col("o_orderpriority") == "4-NOT SPECIFIED", "Elective")
-        .otherwise("Emergency")
-        .alias("admission_type"),
-        _pick(DIAGNOSES, key % 10).alias("diagnosis_category"),
-        stay.alias("length_of_stay"),
+    hospitals = supplier.agg(F.expr("count(*) + 1 + count(*) div 20")).scalar()
+    placed = orders.withColumn("hospital", F.col("o_orderkey") % hospitals)
+    return _select(
+        placed,
+        {
+            "admission_id": "CAST(o_orderkey AS STRING)",
+            "patient_id": "CAST(o_custkey AS STRING)",
+            "facility_id": facility_number("hospital"),
+            "admission_date": "CAST(o_orderdate AS DATE)",
+            "discharge_date": "date_add(o_orderdate, CAST(o_orderkey % 7 + 1 AS INT))",
+            "admission_type": """CASE o_orderpriority WHEN '5-LOW' THEN 'Planned'
+                WHEN '4-NOT SPECIFIED' THEN 'Elective' ELSE 'Emergency' END""",
+            "diagnosis_category": _pick(DIAGNOSES, "o_orderkey % 10"),
+            "length_of_stay": "CAST(o_orderkey % 7 + 1 AS INT)",
+        },
     )
 
 
@@ -92,31 +94,32 @@ def raw_hospital_readmissions(lineitem: DataFrame) -> DataFrame:
     grouped = (
         lineitem.where("l_linenumber <= 6")
         .groupBy("l_suppkey", "l_linenumber")
-        .agg(F.count("*").alias("n"), F.expr("sum(l_orderkey) % 600 + 700").alias("k"))
+        .agg(F.expr("count(*) AS n"), F.expr("sum(l_orderkey) % 600 + 700 AS k"))
     )
-    texts = {
-        "Number of Discharges": """CASE WHEN n % 11 = 0 THEN 'Too Few to Report'
-            WHEN n % 13 = 0 THEN 'Not Available' ELSE CAST(n AS STRING) END""",
-        "Excess Readmission Ratio": """CASE WHEN k % 19 = 0 THEN 'Not Available'
-            ELSE concat(k div 1000, '.', lpad(k % 1000, 3, '0')) END""",
-        "Predicted Readmission Rate": """CASE WHEN k % 17 = 0 THEN 'N/A'
-            ELSE concat(10 + k % 20, '.', k % 10) END""",
-        "Expected Readmission Rate": """CASE WHEN k % 29 = 0 THEN ''
-            ELSE concat('15.', lpad(n % 100, 2, '0')) END""",
-        "Number of Readmissions": """CASE WHEN n % 7 = 0 THEN 'Too Few to Report'
-            WHEN n % 17 = 0 THEN concat('about ', n div 5) ELSE CAST(n div 5 AS STRING) END""",
-        "Start Date": """CASE WHEN k % 23 = 0 THEN 'Not Available'
-            WHEN k % 2 = 0 THEN '2021-07-01' ELSE '07/01/2021' END""",
-        "End Date": """CASE WHEN k % 31 = 0 THEN NULL
-            WHEN k % 3 = 0 THEN '06/30/2024' ELSE '2024-06-30' END""",
-        "Footnote": "CASE WHEN k % 5 = 0 THEN '5' END",
-    }
-    return grouped.select(
-        facility_number(F.col("l_suppkey")).alias("Facility ID"),
-        F.expr("concat('Facility ', l_suppkey)").alias("Facility Name"),
-        _pick(STATES, F.col("l_suppkey") % 5).alias("State"),
-        _pick(MEASURE_CODES, F.col("l_linenumber") - 1).alias("Measure Name"),
-        *[F.expr(text).alias(name) for name, text in texts.items()],
+    return _select(
+        grouped,
+        {
+            "Facility ID": facility_number("l_suppkey"),
+            "Facility Name": "concat('Facility ', l_suppkey)",
+            "State": _pick(STATES, "l_suppkey % 5"),
+            "Measure Name": _pick(MEASURE_CODES, "l_linenumber - 1"),
+            "Number of Discharges": """CASE WHEN n % 11 = 0 THEN 'Too Few to Report'
+                WHEN n % 13 = 0 THEN 'Not Available' ELSE CAST(n AS STRING) END""",
+            "Excess Readmission Ratio": """CASE WHEN k % 19 = 0 THEN 'Not Available'
+                ELSE concat(k div 1000, '.', lpad(k % 1000, 3, '0')) END""",
+            "Predicted Readmission Rate": """CASE WHEN k % 17 = 0 THEN 'N/A'
+                ELSE concat(10 + k % 20, '.', k % 10) END""",
+            "Expected Readmission Rate": """CASE WHEN k % 29 = 0 THEN ''
+                ELSE concat('15.', lpad(n % 100, 2, '0')) END""",
+            "Number of Readmissions": """CASE WHEN n % 7 = 0 THEN 'Too Few to Report'
+                WHEN n % 17 = 0 THEN concat('about ', n div 5)
+                ELSE CAST(n div 5 AS STRING) END""",
+            "Start Date": """CASE WHEN k % 23 = 0 THEN 'Not Available'
+                WHEN k % 2 = 0 THEN '2021-07-01' ELSE '07/01/2021' END""",
+            "End Date": """CASE WHEN k % 31 = 0 THEN NULL
+                WHEN k % 3 = 0 THEN '06/30/2024' ELSE '2024-06-30' END""",
+            "Footnote": "CASE WHEN k % 5 = 0 THEN '5' END",
+        },
     )
 
 
@@ -124,6 +127,7 @@ def raw_providers(lineitem: DataFrame) -> DataFrame:
     """One provider record per order line; one supplier in ten has none."""
     day = "month(l_shipdate) * 100 + day(l_shipdate)"
     texts = {
+        "providerCcn": ccn("l_suppkey"),
         "nationalProviderIdentifier": "1000000000 + l_suppkey",
         "providerType": "CASE l_returnflag WHEN 'A' THEN '00' WHEN 'N' THEN '04' ELSE '08' END",
         "stateCode": "lpad(l_suppkey % 53 + 1, 2, '0')",
@@ -170,66 +174,77 @@ def raw_providers(lineitem: DataFrame) -> DataFrame:
         "lastUpdated": "concat(l_orderkey, '-', l_partkey, '-', l_linenumber)",
         "intermediaryNumber": "lpad(l_suppkey % 15 + 1, 5, '0')",
     }
-    types = {field.name: field.dataType for field in RAW_PROVIDERS.fields}
-    records = lineitem.where("l_suppkey % 10 <> 3")
-    return records.select(
-        *[
-            (ccn(F.col("l_suppkey")) if name == "providerCcn" else F.expr(texts[name]))
-            .cast(types[name])
-            .alias(name)
-            for name in PROVIDER_NAMES
-        ]
+    types = {field.name: field.dataType.simpleString() for field in RAW_PROVIDERS.fields}
+    return _select(
+        lineitem.where("l_suppkey % 10 <> 3"),
+        {name: f"CAST({texts[name]} AS {types[name]})" for name in PROVIDER_NAMES},
     )
 
 
 def raw_admissions(supplier: DataFrame, nation: DataFrame) -> DataFrame:
     """One row per supplier; one in twenty-five has none."""
-    key = F.col("s_suppkey")
     counts = [name for name in HOSPITAL_NAMES if name.startswith("Count of ")]
     footnotes = [name for name in HOSPITAL_NAMES if name.endswith("Group Footnote")]
     columns = {
-        "Facility ID": ccn(key),
-        "Facility Name": F.col("s_name"),
-        "Address": F.expr("concat(s_suppkey % 9000 + 1, ' Main St')"),
-        "City/Town": F.col("n_name"),
-        "State": _pick(STATES, key % 5),
-        "ZIP Code": (key % 89999 + 10000).cast("string"),
-        "County/Parish": F.expr("concat('County ', s_suppkey % 67)"),
-        "Telephone Number": F.expr("concat('555-', lpad(s_suppkey % 10000, 4, '0'))"),
-        "Hospital Type": _pick(HOSPITAL_TYPES, key % 4),
-        "Hospital Ownership": F.when(key % 37 == 36, None)
-        .when(key % 41 == 40, "Unknown")
-        .otherwise(_pick(OWNERS, key % 12)),
-        "Emergency Services": _pick(("Yes", "No", ""), key % 3),
+        "Facility ID": ccn("s_suppkey"),
+        "Facility Name": "s_name",
+        "Address": "concat(s_suppkey % 9000 + 1, ' Main St')",
+        "City/Town": "n_name",
+        "State": _pick(STATES, "s_suppkey % 5"),
+        "ZIP Code": "CAST(s_suppkey % 89999 + 10000 AS STRING)",
+        "County/Parish": "concat('County ', s_suppkey % 67)",
+        "Telephone Number": "concat('555-', lpad(s_suppkey % 10000, 4, '0'))",
+        "Hospital Type": _pick(HOSPITAL_TYPES, "s_suppkey % 4"),
+        "Hospital Ownership": f"""CASE WHEN s_suppkey % 37 = 36 THEN NULL
+            WHEN s_suppkey % 41 = 40 THEN 'Unknown' ELSE {_pick(OWNERS, "s_suppkey % 12")} END""",
+        "Emergency Services": _pick(("Yes", "No", ""), "s_suppkey % 3"),
         "Meets criteria for birthing friendly designation": _pick(
-            ("Yes", "No", "", "yes"), key % 4
+            ("Yes", "No", "", "yes"), "s_suppkey % 4"
         ),
         "Hospital overall rating": _pick(
-            ("1", "2", "3", "4", "5", "Not Available", "Not Applicable", ""), key % 8
+            ("1", "2", "3", "4", "5", "Not Available", "Not Applicable", ""), "s_suppkey % 8"
         ),
-        "Hospital overall rating footnote": F.when(key % 8 > 4, "16"),
+        "Hospital overall rating footnote": "CASE WHEN s_suppkey % 8 > 4 THEN '16' END",
     }
     no_value = ("Not Available", "Not Applicable", "Too Few to Report", "N/A", "")
     for i, name in enumerate(counts):
-        digit = key * (i + 3) % 17
-        columns[name] = F.when(digit < 12, digit.cast("string")).otherwise(
-            _pick(no_value, digit - 12)
-        )
+        digit = f"s_suppkey * {i + 3} % 17"
+        columns[name] = f"""CASE WHEN {digit} < 12 THEN CAST({digit} AS STRING)
+            ELSE {_pick(no_value, f"{digit} - 12")} END"""
     for i, name in enumerate(footnotes):
-        columns[name] = F.when((key + i) % 6 == 0, "19")
-    hospitals = supplier.where("s_suppkey % 25 <> 7")
-    joined = hospitals.join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
-    return joined.select(*[columns[name].alias(name) for name in HOSPITAL_NAMES])
-
-
-def sample_sources(spark: SparkSession, folder: str) -> Sources:
-    def table(name: str) -> DataFrame:
-        return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
-
-    return Sources(
-        metrics=raw_hospital_readmissions(table("lineitem")),
-        providers=raw_providers(table("lineitem")),
-        hospitals=raw_admissions(table("supplier"), table("nation")),
-        events=admission_events(table("orders"), table("supplier")),
-        provider_types=provider_type_codes(spark),
+        columns[name] = f"CASE WHEN (s_suppkey + {i}) % 6 = 0 THEN '19' END"
+    joined = supplier.where("s_suppkey % 25 <> 7").join(
+        nation, F.col("s_nationkey") == F.col("n_nationkey")
     )
+    return _select(joined, {name: columns[name] for name in HOSPITAL_NAMES})
+
+
+class SampleInputs:
+    """The inputs over one folder of tables, each made when first asked for."""
+
+    def __init__(self, spark: SparkSession, folder: str):
+        self.spark = spark
+        self.folder = folder.rstrip("/")
+
+    def table(self, name: str) -> DataFrame:
+        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+
+    @cached_property
+    def metrics(self) -> DataFrame:
+        return raw_hospital_readmissions(self.table("lineitem"))
+
+    @cached_property
+    def providers(self) -> DataFrame:
+        return raw_providers(self.table("lineitem"))
+
+    @cached_property
+    def hospitals(self) -> DataFrame:
+        return raw_admissions(self.table("supplier"), self.table("nation"))
+
+    @cached_property
+    def events(self) -> DataFrame:
+        return admission_events(self.table("orders"), self.table("supplier"))
+
+    @cached_property
+    def provider_types(self) -> DataFrame:
+        return provider_type_codes(self.spark)
