@@ -14,7 +14,7 @@ MAX_CUTS = 100_000
 def with_previous(
     df: DataFrame,
     group: str,
-    order: Sequence[Column],
+    order: Sequence[Column | str],
     carried: Sequence[str],
     *,
     rows_per_slice: int = ROWS_PER_SLICE,
@@ -22,8 +22,8 @@ def with_previous(
 ) -> DataFrame:
     """Add struct ``previous``: ``carried`` of the preceding row, NULL at the start.
 
-    Equal to ``lag`` over ``group`` ordered by ``order`` (then ``carried``), but
-    a window keeps a whole group in one task. So long groups are cut into
+    Equal to ``lag`` over ``group`` ordered by ``order`` (then by what is carried),
+    but a window keeps a whole group in one task. So long groups are cut into
     consecutive slices, each its own window partition, and the last row of a
     slice is handed to the first row of the next one.
 
@@ -38,60 +38,64 @@ def with_previous(
     * ``df`` is shuffled once. With no cut point found, adaptive execution drops
       both joins and a plain window remains.
     """
-    key = F.struct(
-        *[column.alias(f"o{i}") for i, column in enumerate(order)],
-        *[F.col(name) for name in carried],
-    )
-    cuts = F.broadcast(_cut_points(df, group, key, rows_per_slice, max_cuts))
-    same_group = F.col(group).eqNullSafe(F.col("_cut_group"))
+    names = [part for part in order if isinstance(part, str)]
+    ties = [F.col(name) for name in carried if name not in names]
+    sort_key = [F.col(part) if isinstance(part, str) else part for part in order] + ties
+    key = F.struct(*[column.alias(f"k{i}") for i, column in enumerate(sort_key)])
+    # A struct is never NULL and equal to one with the same content, so rows
+    # without a group match by plain equality, and Spark can see that both joins
+    # add no rows and drop them where nothing of ``previous`` is read.
+    member = F.struct(F.col(group))
+
+    cuts = F.broadcast(_cut_points(df, member, key, rows_per_slice, max_cuts))
     slice_number = F.when(F.col("_cuts").isNull(), 0).otherwise(
         _count_not_above(F.col("_cuts"), key, max_cuts)
     )
 
     # Last row of every slice, addressed to the slice after it.
     handed_over = (
-        df.join(cuts, same_group)
-        .withColumn("_slice", slice_number)
-        .groupBy(F.col(group).alias("_to_group"), (F.col("_slice") + 1).alias("_to_slice"))
-        .agg(F.max(key).alias("_last"))
-        .select(
-            "_to_group",
-            "_to_slice",
-            F.struct(*[F.col("_last")[name].alias(name) for name in carried]).alias("_handed"),
-        )
+        df.join(cuts, member == F.col("_cut_member"))
+        .groupBy(F.col("_cut_member").alias("_to_member"), (slice_number + 1).alias("_to_slice"))
+        .agg(F.max(F.struct(key.alias("key"), *carried)).alias("_handed"))
     )
 
     in_slice = Window.partitionBy(group, "_slice").orderBy(
-        *[column.asc_nulls_first() for column in order],
-        *[F.col(name).asc_nulls_first() for name in carried],
+        *[column.asc_nulls_first() for column in sort_key]
+    )
+    has_row_before = F.lag(F.lit(True)).over(in_slice)
+    previous = F.struct(*[F.lag(name).over(in_slice).alias(name) for name in carried])
+    handed = F.struct(*[F.col("_handed")[name].alias(name) for name in carried])
+    sliced = df.join(cuts, member == F.col("_cut_member"), "left").withColumn(
+        "_slice", slice_number
     )
     return (
-        df.join(cuts, same_group, "left")
-        .withColumn("_slice", slice_number)
-        .drop("_cut_group", "_cuts")
-        .withColumn("_lag", F.lag(F.struct(*carried)).over(in_slice))
+        sliced.select(
+            *df.columns, "_slice", has_row_before.alias("_inner"), previous.alias("_lag")
+        )
         .join(
             F.broadcast(handed_over),
-            F.col(group).eqNullSafe(F.col("_to_group"))
-            & (F.col("_slice") == F.col("_to_slice")),
+            (member == F.col("_to_member")) & (F.col("_slice") == F.col("_to_slice")),
             "left",
         )
-        .withColumn("previous", F.coalesce("_lag", "_handed"))
-        .drop("_slice", "_lag", "_to_group", "_to_slice", "_handed")
+        .withColumn(
+            "previous",
+            F.when(F.col("_inner"), F.col("_lag")).when(F.col("_handed").isNotNull(), handed),
+        )
+        .select(*df.columns, "previous")
     )
 
 
 def _cut_points(
-    df: DataFrame, group: str, key: Column, rows_per_slice: int, max_cuts: int
+    df: DataFrame, member: Column, key: Column, rows_per_slice: int, max_cuts: int
 ) -> DataFrame:
     """One row per group that is cut at all: its sorted cut keys."""
     return (
-        df.select(F.col(group).alias("_cut_group"), key.alias("_key"))
-        .withColumn("_hash", F.xxhash64("_cut_group", "_key"))
+        df.select(member.alias("_cut_member"), key.alias("_key"))
+        .withColumn("_hash", F.xxhash64("_cut_member", "_key"))
         .where(F.pmod("_hash", F.lit(rows_per_slice)) == 0)
-        .orderBy("_hash", "_cut_group", "_key")
+        .orderBy("_hash", "_cut_member", "_key")
         .limit(max_cuts)
-        .groupBy("_cut_group")
+        .groupBy("_cut_member")
         .agg(F.array_sort(F.collect_set("_key")).alias("_cuts"))
     )
 
@@ -109,7 +113,7 @@ def _count_not_above(sorted_keys: Column, key: Column, longest: int) -> Column:
             .otherwise(F.struct(low.alias("low"), middle.alias("high")))
         )
 
-    steps = F.array(*[F.lit(i) for i in range(longest.bit_length() + 1)])
+    steps = F.expr(f"sequence(0, {longest.bit_length()})")
     start = F.struct(F.lit(0).alias("low"), F.size(sorted_keys).alias("high"))
     found = F.aggregate(steps, start, halve, lambda bounds: bounds["low"])
     return F.coalesce(found, F.lit(0))  # never NULL; says so to the optimizer

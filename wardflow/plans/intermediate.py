@@ -97,7 +97,7 @@ def int_readmissions_flagged(
     Same-day stays are taken in the order of their ids, shorter ids first, which
     is number order for plain numbers.
     """
-    order = [F.col("admission_date"), F.length("admission_id"), F.col("admission_id")]
+    order = ["admission_date", F.length("admission_id"), "admission_id"]
     paired = with_previous(
         events,
         "patient_id",
