@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from wardflow.operators.sinks import layer_table, save_table, save_view
 from wardflow.plans import intermediate, marts, staging, suite
 from wardflow.sources.readers import Sources
+from wardflow.sources.reference_rows import provider_type_codes
 
 
 class ChecksFailed(RuntimeError):
@@ -26,6 +27,20 @@ def require(results: DataFrame, layer: str) -> None:
         raise ChecksFailed(layer, [tuple(row) for row in failed])
 
 
+def save_seeds(
+    spark: SparkSession,
+    events: DataFrame,
+    provider_types: DataFrame | None = None,
+    *,
+    default_schema: str = "default",
+    schemas: dict[str, str] | None = None,
+) -> None:
+    """Write the event file and the provider type lookup as tables."""
+    lookup = provider_type_codes(spark) if provider_types is None else provider_types
+    for name, df in (("raw_readmissions_events", events), ("cms_provider_type_codes", lookup)):
+        save_table(df, layer_table("seeds", name, default_schema, schemas))
+
+
 def build_all(
     spark: SparkSession,
     sources: Sources,
