@@ -8,7 +8,7 @@ from fixtures import event_row, frame, hospital_row, metric_row, provider_row, s
 from wardflow.operators.sinks import layer_schema, layer_table, save_table, save_view
 from wardflow.plans import build, reports
 from wardflow.session import materialize, shared_folder
-from wardflow.sources import read_csv, sources_from_catalog, sources_from_files
+from wardflow.sources import conform, read_csv, sources_from_catalog, sources_from_files
 from wardflow.sources.schemas import ADMISSION_EVENTS, PROVIDER_TYPES, RAW_METRICS
 
 D = dt.date
@@ -44,6 +44,13 @@ def test_type_codes_csv_keeps_leading_zeros(spark, tmp_path):
     ]
 
 
+def test_conform_restores_type_codes_guessed_as_numbers(spark):
+    guessed = spark.sql("SELECT 0 AS provider_type_code, 'x' AS provider_type_label, "
+                        "'y' AS category, 'true' AS is_hrrp_eligible, 1 AS extra")
+    row = conform(guessed, PROVIDER_TYPES).first()
+    assert tuple(row) == ("00", "x", "y", True)
+
+
 def test_metrics_csv_with_zero_padded_number(spark, tmp_path):
     path = tmp_path / "metrics.csv"
     names = ",".join(f'"{name}"' for name in RAW_METRICS.names)

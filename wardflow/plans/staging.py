@@ -20,6 +20,7 @@ LAST_FISCAL_BEGIN = 20251231
 
 # Raw text columns that are cast, with the target type and the texts meaning NULL.
 METRIC_CASTS = {
+    "Facility ID": ("bigint", ()),
     "Number of Discharges": ("int", casts.METRIC_SENTINELS),
     "Excess Readmission Ratio": ("double", casts.METRIC_SENTINELS),
     "Predicted Readmission Rate": ("double", casts.METRIC_SENTINELS),
@@ -51,12 +52,16 @@ def _typed(targets: Mapping[str, tuple[str, Sequence[str]]]) -> dict[str, Column
     return {name: casts.sentinel_cast(raw(name), *target) for name, target in targets.items()}
 
 
+def _pick(df: DataFrame, names: Mapping[str, str], typed: Mapping[str, Column]) -> DataFrame:
+    """The contract's columns under their new names, ``typed`` where given."""
+    return df.select(
+        *[typed[old].alias(new) if old in typed else raw(old).alias(new) for old, new in names.items()]
+    )
+
+
 def stg_hrrp_metrics(raw_metrics: DataFrame) -> DataFrame:
     """Typed outcome metrics, one row per facility and measure."""
-    typed = _typed(METRIC_CASTS) | {"Facility ID": raw("Facility ID").cast("bigint")}
-    return (
-        raw_metrics.select(*METRIC_NAMES).withColumns(typed).withColumnsRenamed(METRIC_NAMES)
-    )
+    return _pick(raw_metrics, METRIC_NAMES, _typed(METRIC_CASTS))
 
 
 def stg_admissions(
@@ -64,12 +69,8 @@ def stg_admissions(
 ) -> DataFrame:
     """Typed hospital attributes; federal and unknown owners are left out."""
     typed = _typed(HOSPITAL_CASTS) | {name: casts.yes_no(raw(name)) for name in HOSPITAL_YES_NO}
-    return (
-        raw_hospitals.where(~raw("Hospital Ownership").isin(*excluded_owners))
-        .select(*HOSPITAL_NAMES)
-        .withColumns(typed)
-        .withColumnsRenamed(HOSPITAL_NAMES)
-    )
+    civilian = raw_hospitals.where(~raw("Hospital Ownership").isin(*excluded_owners))
+    return _pick(civilian, HOSPITAL_NAMES, typed)
 
 
 def stg_providers(
@@ -100,9 +101,4 @@ def stg_providers(
         )
         for name in PROVIDER_DATES
     }
-    return (
-        latest_per_key(in_scope, "providerCcn", newest_first)
-        .select(*PROVIDER_NAMES)
-        .withColumns(days)
-        .withColumnsRenamed(PROVIDER_NAMES)
-    )
+    return _pick(latest_per_key(in_scope, "providerCcn", newest_first), PROVIDER_NAMES, days)

@@ -36,6 +36,10 @@ SEED_TABLES = {
 }
 
 
+# Two-character codes that lose a leading zero when an upload guesses a number.
+TYPE_CODE_COLUMNS = ("providerType", "provider_type_code")
+
+
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Pick the contract's columns by name and bring them to its types.
 
@@ -47,8 +51,12 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     for field in schema.fields:
         column = F.col(f"`{field.name}`")
         if have.get(field.name) != field.dataType:
-            as_date = field.dataType == T.DateType() and have.get(field.name) == T.StringType()
-            column = date_of(column) if as_date else column.try_cast(field.dataType)
+            if field.dataType == T.DateType() and have.get(field.name) == T.StringType():
+                column = date_of(column)
+            else:
+                column = column.try_cast(field.dataType)
+            if field.name in TYPE_CODE_COLUMNS:
+                column = F.lpad(column, 2, "0")
         columns.append(column.alias(field.name))
     return df.select(*columns)
 
