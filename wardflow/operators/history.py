@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 ROWS_PER_SLICE = 1_000_000
 MAX_CUTS = 100_000
+FEWEST_CUTS = 2
 
 
 def with_previous(
@@ -28,10 +29,10 @@ def with_previous(
     slice is handed to the first row of the next one.
 
     * Cut points are keys of the data itself, picked by hash with a chance of
-      1 in ``rows_per_slice``: a long group is cut about every that many rows, a
-      short one practically never. They depend on values alone, so a recomputed
-      task finds the same ones. They only decide where a history is cut; every
-      row is kept.
+      1 in ``rows_per_slice``: a long group is cut about every that many rows. A
+      group with a single hit is most likely a short one and stays whole. The
+      points depend on values alone, so a recomputed task finds the same ones.
+      They only decide where a history is cut; every row is kept.
     * At most ``max_cuts`` cut points exist, whatever the size of ``df``, and at
       most two handed-over rows per cut point; that bound is why both tables
       can be broadcast. Should it be reached, slices get longer, not wrong.
@@ -97,23 +98,22 @@ def _cut_points(
         .limit(max_cuts)
         .groupBy("_cut_member")
         .agg(F.array_sort(F.collect_set("_key")).alias("_cuts"))
+        .where(F.size("_cuts") >= FEWEST_CUTS)
     )
 
 
 def _count_not_above(sorted_keys: Column, key: Column, longest: int) -> Column:
-    """How many of the sorted keys are <= ``key``, by bisection."""
-
-    def halve(bounds: Column, _step: Column) -> Column:
-        low, high = bounds["low"], bounds["high"]
-        middle = F.shiftright(low + high, 1)
-        below = F.get(sorted_keys, middle) <= key
-        return (
-            F.when(low >= high, bounds)
-            .when(below, F.struct((middle + 1).alias("low"), high.alias("high")))
-            .otherwise(F.struct(low.alias("low"), middle.alias("high")))
-        )
+    """How many of the sorted keys are <= ``key``, by steps of falling powers of two."""
+    steps = F.array(*[F.lit(1 << bit) for bit in reversed(range(longest.bit_length()))])
+
+    def search(wanted: Column) -> Column:
+        def advance(found: Column, step: Column) -> Column:
+            # A place past the end holds NULL, which is not <= anything.
+            last = F.get(sorted_keys, found + step - 1)
+            return F.when(last <= wanted, found + step).otherwise(found)
+
+        return F.aggregate(steps, F.lit(0), advance)
 
-    steps = F.expr(f"sequence(0, {longest.bit_length()})")
-    start = F.struct(F.lit(0).alias("low"), F.size(sorted_keys).alias("high"))
-    found = F.aggregate(steps, start, halve, lambda bounds: bounds["low"])
+    # Bound as a lambda argument the key is built once per row, not once per step.
+    found = F.get(F.transform(F.array(key), search), F.lit(0))
     return F.coalesce(found, F.lit(0))  # never NULL; says so to the optimizer
