@@ -121,8 +121,7 @@ def _raw_admissions() -> str:
         )
     for i, (name, _) in enumerate(_HOSPITAL_FOOTNOTES):
         columns.append(f"""CASE WHEN (s_suppkey + {i}) % 6 = 0 THEN '19' END AS "{name}" """)
-    return f"""SELECT {', '.join(columns)} FROM supplier JOIN nation ON s_nationkey = n_nationkey
-        WHERE s_suppkey % 25 <> 7"""
+    return f"""SELECT {', '.join(columns)} FROM supplier JOIN nation ON s_nationkey = n_nationkey"""
 
 
 def _stg_admissions() -> str:
@@ -158,7 +157,8 @@ _PROVIDER_COLUMNS = [
     ("national_provider_id", "1000000000 + l_suppkey", "VARCHAR"),
     (
         "provider_type_code",
-        "CASE l_returnflag WHEN 'A' THEN '00' WHEN 'N' THEN '04' ELSE '08' END",
+        """CASE WHEN l_suppkey % 10 = 3 THEN '05' WHEN l_returnflag = 'A' THEN '00'
+            WHEN l_returnflag = 'N' THEN '04' ELSE '08' END""",
         "VARCHAR",
     ),
     ("state_code", "lpad(CAST(l_suppkey % 53 + 1 AS VARCHAR), 2, '0')", "VARCHAR"),
@@ -246,7 +246,7 @@ def _provider_day(name: str) -> str:
 
 def _raw_providers() -> str:
     columns = [f"CAST({sql} AS {kind}) AS {name}" for name, sql, kind in _PROVIDER_COLUMNS]
-    return f"SELECT {', '.join(columns)} FROM lineitem WHERE l_suppkey % 10 <> 3"
+    return f"SELECT {', '.join(columns)} FROM lineitem"
 
 
 def _stg_providers() -> str:
@@ -349,7 +349,7 @@ _VIEWS = {
         'Facility ' || l_suppkey AS "Facility Name",
         ['AL', 'CA', 'NY', 'TX', 'WA'][l_suppkey % 5 + 1] AS "State",
         ['READM-30-AMI-HRRP', 'READM-30-HF-HRRP', 'READM-30-PN-HRRP', 'READM-30-COPD-HRRP',
-            'READM-30-HIP-KNEE-HRRP', 'READM-30-CABG-HRRP'][l_linenumber] AS "Measure Name",
+            'READM-30-HIP-KNEE-HRRP', 'READM-30-CABG-HRRP'][measure + 1] AS "Measure Name",
         CASE WHEN n % 11 = 0 THEN 'Too Few to Report' WHEN n % 13 = 0 THEN 'Not Available'
             ELSE CAST(n AS VARCHAR) END AS "Number of Discharges",
         CASE WHEN k % 19 = 0 THEN 'Not Available'
@@ -366,9 +366,9 @@ _VIEWS = {
         CASE WHEN k % 31 = 0 THEN NULL WHEN k % 3 = 0 THEN '06/30/2024'
             ELSE '2024-06-30' END AS "End Date",
         CASE WHEN k % 5 = 0 THEN '5' END AS "Footnote"
-        FROM (SELECT l_suppkey, l_linenumber, count(*) AS n,
+        FROM (SELECT l_suppkey, (l_linenumber - 1) % 6 AS measure, count(*) AS n,
                 CAST(sum(l_orderkey) % 600 + 700 AS BIGINT) AS k
-            FROM lineitem WHERE l_linenumber <= 6 GROUP BY l_suppkey, l_linenumber)""",
+            FROM lineitem GROUP BY l_suppkey, measure)""",
     "raw_providers": _raw_providers(),
     "raw_admissions": _raw_admissions(),
     "stg_hrrp_metrics": f"""SELECT "Facility ID" AS facility_id,

@@ -32,8 +32,8 @@ def build_session(master: str | None = None, **settings) -> SparkSession:
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by the cluster.
 
-    Only where ``spark.checkpoint.dir`` is unset (single-machine tests) a local
-    folder is made and set as the checkpoint folder.
+    Only where it is unset and Spark runs on one machine (tests) a local folder
+    is made and set as the checkpoint folder.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
@@ -41,6 +41,8 @@ def shared_folder(spark: SparkSession) -> str:
     context = spark.sparkContext
     current = context.getCheckpointDir()
     if current is None:
+        if not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="wardflow-"))
         current = context.getCheckpointDir()
     return current

@@ -90,19 +90,17 @@ def admission_events(orders: DataFrame, supplier: DataFrame) -> DataFrame:
 
 
 def raw_hospital_readmissions(lineitem: DataFrame) -> DataFrame:
-    """One row per supplier and line number, the line number being the measure."""
-    grouped = (
-        lineitem.where("l_linenumber <= 6")
-        .groupBy("l_suppkey", "l_linenumber")
-        .agg(F.expr("count(*) AS n"), F.expr("sum(l_orderkey) % 600 + 700 AS k"))
-    )
+    """One row per supplier and measure, which the line number stands for."""
+    grouped = lineitem.groupBy(
+        "l_suppkey", F.expr("(l_linenumber - 1) % 6").alias("measure")
+    ).agg(F.expr("count(*) AS n"), F.expr("sum(l_orderkey) % 600 + 700 AS k"))
     return _select(
         grouped,
         {
             "Facility ID": facility_number("l_suppkey"),
             "Facility Name": "concat('Facility ', l_suppkey)",
             "State": _pick(STATES, "l_suppkey % 5"),
-            "Measure Name": _pick(MEASURE_CODES, "l_linenumber - 1"),
+            "Measure Name": _pick(MEASURE_CODES, "measure"),
             "Number of Discharges": """CASE WHEN n % 11 = 0 THEN 'Too Few to Report'
                 WHEN n % 13 = 0 THEN 'Not Available' ELSE CAST(n AS STRING) END""",
             "Excess Readmission Ratio": """CASE WHEN k % 19 = 0 THEN 'Not Available'
@@ -124,12 +122,13 @@ def raw_hospital_readmissions(lineitem: DataFrame) -> DataFrame:
 
 
 def raw_providers(lineitem: DataFrame) -> DataFrame:
-    """One provider record per order line; one supplier in ten has none."""
+    """One provider record per order line; one supplier in ten is of no eligible type."""
     day = "month(l_shipdate) * 100 + day(l_shipdate)"
     texts = {
         "providerCcn": ccn("l_suppkey"),
         "nationalProviderIdentifier": "1000000000 + l_suppkey",
-        "providerType": "CASE l_returnflag WHEN 'A' THEN '00' WHEN 'N' THEN '04' ELSE '08' END",
+        "providerType": """CASE WHEN l_suppkey % 10 = 3 THEN '05'
+            WHEN l_returnflag = 'A' THEN '00' WHEN l_returnflag = 'N' THEN '04' ELSE '08' END""",
         "stateCode": "lpad(l_suppkey % 53 + 1, 2, '0')",
         "countyCode": "lpad(l_suppkey % 254 + 1, 3, '0')",
         "msaActualGeographicLocation": "1000 + l_suppkey % 8000",
@@ -176,13 +175,13 @@ def raw_providers(lineitem: DataFrame) -> DataFrame:
     }
     types = {field.name: field.dataType.simpleString() for field in RAW_PROVIDERS.fields}
     return _select(
-        lineitem.where("l_suppkey % 10 <> 3"),
+        lineitem,
         {name: f"CAST({texts[name]} AS {types[name]})" for name in PROVIDER_NAMES},
     )
 
 
 def raw_admissions(supplier: DataFrame, nation: DataFrame) -> DataFrame:
-    """One row per supplier; one in twenty-five has none."""
+    """One row per supplier; federal, unknown and unlisted owners occur."""
     counts = [name for name in HOSPITAL_NAMES if name.startswith("Count of ")]
     footnotes = [name for name in HOSPITAL_NAMES if name.endswith("Group Footnote")]
     columns = {
@@ -213,9 +212,7 @@ def raw_admissions(supplier: DataFrame, nation: DataFrame) -> DataFrame:
             ELSE {_pick(no_value, f"{digit} - 12")} END"""
     for i, name in enumerate(footnotes):
         columns[name] = f"CASE WHEN (s_suppkey + {i}) % 6 = 0 THEN '19' END"
-    joined = supplier.where("s_suppkey % 25 <> 7").join(
-        nation, F.col("s_nationkey") == F.col("n_nationkey")
-    )
+    joined = supplier.join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
     return _select(joined, {name: columns[name] for name in HOSPITAL_NAMES})
 
 
