@@ -94,6 +94,7 @@ def _cut_points(
         df.select(member.alias("_cut_member"), key.alias("_key"))
         .withColumn("_hash", F.xxhash64("_cut_member", "_key"))
         .where(F.pmod("_hash", F.lit(rows_per_slice)) == 0)
+        .distinct()
         .orderBy("_hash", "_cut_member", "_key")
         .limit(max_cuts)
         .groupBy("_cut_member")

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from wardflow.operators.sinks import layer_table, save_table, save_view
 from wardflow.plans import intermediate, marts, staging, suite
+from wardflow.session import materialize
 from wardflow.sources.readers import Sources
 from wardflow.sources.reference_rows import provider_type_codes
 
@@ -52,8 +53,9 @@ def build_all(
 ) -> suite.Models:
     """Refresh every model and return them, marts as scans of written tables.
 
-    Staging stays views; the intermediate and mart models are written, so each
-    is computed once however many models and tests read it. With
+    Staging stays views, the one over providers on rows written once; the
+    intermediate and mart models are tables. So each is computed once however
+    many models and tests read it. With
     ``block_on_failure`` nothing is built on a layer whose tests failed.
     """
 
@@ -63,8 +65,12 @@ def build_all(
     staged = suite.Models(
         stg_hrrp_metrics=save_view(staging.stg_hrrp_metrics(sources.metrics), "stg_hrrp_metrics"),
         stg_admissions=save_view(staging.stg_admissions(sources.hospitals), "stg_admissions"),
+        # The one staging model that sorts; three tests and a model read it.
         stg_providers=save_view(
-            staging.stg_providers(sources.providers, sources.provider_types), "stg_providers"
+            materialize(
+                staging.stg_providers(sources.providers, sources.provider_types), "stg_providers"
+            ),
+            "stg_providers",
         ),
     )
     if block_on_failure:
