@@ -5,6 +5,7 @@ from types import SimpleNamespace
 import pytest
 from fixtures import event_row, frame, hospital_row, metric_row, provider_row, sources
 
+from wardflow.__main__ import main
 from wardflow.operators.sinks import layer_schema, layer_table, save_table, save_view
 from wardflow.plans import build, reports
 from wardflow.session import materialize, shared_folder
@@ -138,3 +139,21 @@ def test_build_stops_at_failed_staging(spark):
     assert not spark.catalog.databaseExists("stopped")
     build.build_all(spark, made, schemas={}, default_schema="stopped", block_on_failure=False)
     assert spark.table("stopped.dim_providers").count() == 1
+
+
+def test_jobs(spark, tmp_path, capsys):
+    made = sources(spark)
+    save_table(made.metrics, "job_raw.raw_hospital_readmissions")
+    save_table(made.providers, "job_raw.raw_providers")
+    save_table(made.hospitals, "job_raw.raw_admissions")
+    events = tmp_path / "events.csv"
+    header = ",".join(ADMISSION_EVENTS.names)
+    events.write_text(f"{header}\nA1,P1,100001,2026-01-05,2026-01-09,Emergency,AMI,4\n")
+    assert main(["seed", str(events)]) == 0
+    assert main(["build", "--raw-schema", "job_raw"]) == 0
+    assert spark.table("hrrp_marts.fct_readmissions").first()["admission_id"] == "A1"
+
+    events.write_text(f"{header}\nA1,P1,7,2026-01-05,2026-01-09,Emergency,AMI,4\n")
+    assert main(["seed", str(events)]) == 0
+    assert main(["build", "--raw-schema", "job_raw"]) == 1
+    assert "relationships_fct_readmissions_facility_id (1)" in capsys.readouterr().err

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-ROWS_PER_SLICE = 1_000_000
+ROWS_PER_SLICE = 250_000
 MAX_CUTS = 100_000
 FEWEST_CUTS = 2
 
