@@ -492,12 +492,12 @@ _PAIRS_SQL = _check(
         GROUP BY facility_id, measure_name HAVING count(*) > 1)""",
 )
 _CANCER_SQL = _check(
-    "assert_no_planned_cancer_readmissions",
+    "fct_readmissions_no_planned_cancer_flagged",
     """fct_readmissions WHERE is_readmission AND diagnosis_category = 'Cancer Treatment'
         AND admission_type = 'Planned'""",
 )
 _WINDOW_SQL = _check(
-    "readmission_window_under_30_days",
+    "fct_readmissions_flags_within_30_days",
     "fct_readmissions WHERE is_readmission AND days_since_prior_discharge > 30",
 )
 

@@ -3,7 +3,7 @@ from dataclasses import replace
 from types import SimpleNamespace
 
 import pytest
-from fixtures import event_row, frame, hospital_row, metric_row, provider_row, sources
+from fixtures import event_row, hospital_row, sources
 
 from wardflow.__main__ import main
 from wardflow.operators.sinks import layer_schema, layer_table, save_table, save_view

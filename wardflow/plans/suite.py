@@ -131,13 +131,13 @@ def _beyond_window():
 def no_planned_cancer_test(fact: DataFrame) -> DataFrame:
     """No planned cancer stay is flagged."""
     return checks.row_conditions(
-        fact, {"assert_no_planned_cancer_readmissions": _planned_cancer()}
+        fact, {"fct_readmissions_no_planned_cancer_flagged": _planned_cancer()}
     )
 
 
 def window_test(fact: DataFrame) -> DataFrame:
     """No flagged stay lies beyond the window."""
-    return checks.row_conditions(fact, {"readmission_window_under_30_days": _beyond_window()})
+    return checks.row_conditions(fact, {"fct_readmissions_flags_within_30_days": _beyond_window()})
 
 
 def _fact_rows(fact: DataFrame) -> DataFrame:
@@ -146,8 +146,8 @@ def _fact_rows(fact: DataFrame) -> DataFrame:
         f"not_null_fct_readmissions_{name}": F.col(name).isNull()
         for name in NOT_NULL_COLUMNS["fct_readmissions"]
     }
-    conditions["assert_no_planned_cancer_readmissions"] = _planned_cancer()
-    conditions["readmission_window_under_30_days"] = _beyond_window()
+    conditions["fct_readmissions_no_planned_cancer_flagged"] = _planned_cancer()
+    conditions["fct_readmissions_flags_within_30_days"] = _beyond_window()
     return checks.row_conditions(fact, conditions)
 
 
