@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardflow.llm import language_id, mixing, toxicity
+from wardflow.llm import jaccard_join, language_id, mixing, substring_dedup, toxicity
 from wardflow.session import materialize
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -62,3 +62,17 @@ def op2_source_mix(spark: SparkSession, folder: str) -> DataFrame:
     docs = materialize(rated(docs, table(spark, folder, "labels")), "rated_sizes")
     mixed = mixing.mix(docs, F.col("size"), F.coalesce("_quality", F.lit(2.0)))
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "source", "epochs")
+
+
+@query
+def op5_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return jaccard_join.jaccard_groups(docs).select("doc_id", "n_shingles", "component_id")
+
+
+@query
+def op10_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return substring_dedup.remove_repeats(docs).select(
+        "doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256")
+    )
