@@ -50,3 +50,68 @@ WITH quality AS (
 SELECT doc_id, size, source_size, target, (size * epochs)::BIGINT AS taken, source, epochs::INTEGER AS epochs
 FROM taken
 """
+
+# Separators of words, window length, share of hit words.
+ORACLE_SQL["op6_decontaminate"] = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS rid, doc_id,
+         list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+           'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w
+  FROM documents
+), items AS (
+  SELECT DISTINCT item_id,
+         list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+           'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w
+  FROM benchmark
+), windows AS (
+  SELECT DISTINCT item_id, least(len(w), 13) AS k, array_to_string(w[s : s + least(len(w), 13) - 1], ' ') AS words
+  FROM (SELECT item_id, w, unnest(range(1, len(w) - least(len(w), 13) + 2)) AS s FROM items WHERE len(w) > 0)
+), places AS (
+  SELECT rid, k, s, array_to_string(w[s : s + k - 1], ' ') AS words
+  FROM (SELECT rid, w, k, unnest(range(1, len(w) - k + 2)) AS s
+        FROM docs, (SELECT DISTINCT k FROM windows) WHERE len(w) >= k)
+), hits AS (
+  SELECT p.rid, p.s, p.k, v.item_id FROM places p JOIN windows v ON p.k = v.k AND p.words = v.words
+), counted AS (
+  SELECT rid, count(DISTINCT place) AS n_hit
+  FROM (SELECT rid, unnest(range(s, s + k)) AS place FROM (SELECT DISTINCT rid, s, k FROM hits)) GROUP BY rid
+), listed AS (
+  SELECT rid, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids
+  FROM (SELECT DISTINCT rid, item_id::VARCHAR AS item FROM hits WHERE item_id IS NOT NULL) GROUP BY rid
+)
+SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(c.n_hit, 0)::BIGINT AS n_hit,
+       coalesce(l.n_items, 0)::BIGINT AS n_items, sha256(coalesce(l.ids, '')) AS items_sha256,
+       coalesce(c.n_hit, 0) > 0 AND 20 * coalesce(c.n_hit, 0) >= len(d.w) AS contaminated
+FROM docs d LEFT JOIN counted c USING (rid) LEFT JOIN listed l USING (rid)
+"""
+
+# White space, least words of a line to be compared, and with one edit.
+ORACLE_SQL["op4_line_dedup"] = r"""
+WITH lines AS (
+  SELECT rid, doc_id, no,
+         list_filter(regexp_split_to_array(line, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+  FROM (SELECT row_number() OVER () AS rid, doc_id, unnest(string_split(text, chr(10))) AS line,
+               generate_subscripts(string_split(text, chr(10)), 1) - 1 AS no FROM documents)
+), compared AS (
+  SELECT *, len(w) AS n, array_to_string(w, ' ') AS words FROM lines WHERE len(w) >= 2
+), firsts AS (
+  SELECT words, any_value(w) AS w, any_value(n) AS n, min(struct_pack(d := doc_id, l := no)) AS first
+  FROM compared GROUP BY words
+), variants AS (
+  SELECT words, n, first, g AS gap, array_to_string(list_concat(w[1 : g - 1], w[g + 1 :]), ' ') AS rest
+  FROM (SELECT *, unnest(range(1, n + 1)) AS g FROM firsts WHERE n >= 8)
+), near AS (
+  SELECT a.words FROM variants a JOIN variants b
+    ON a.rest = b.rest AND a.gap = b.gap AND a.n = b.n AND b.first < a.first
+  UNION SELECT a.words FROM variants a JOIN firsts b ON a.rest = b.words AND b.n >= 8 AND b.first < a.first
+  UNION SELECT b.words FROM variants a JOIN firsts b ON a.rest = b.words AND b.n >= 8 AND a.first < b.first
+), gone AS (
+  SELECT c.rid, c.no FROM compared c JOIN firsts f USING (words)
+  WHERE struct_pack(d := c.doc_id, l := c.no) <> f.first OR c.words IN (SELECT words FROM near)
+), listed AS (
+  SELECT rid, count(*) AS n_removed, string_agg(no::VARCHAR, ',' ORDER BY no) AS removed_lines FROM gone GROUP BY rid
+)
+SELECT d.doc_id, coalesce(len(string_split(d.text, chr(10))), 0)::BIGINT AS n_lines,
+       coalesce(l.n_removed, 0)::BIGINT AS n_removed, coalesce(l.removed_lines, '') AS removed_lines
+FROM (SELECT row_number() OVER () AS rid, doc_id, text FROM documents) d LEFT JOIN listed l USING (rid)
+"""

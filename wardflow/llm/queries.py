@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardflow.llm import jaccard_join, language_id, mixing, substring_dedup, toxicity
+from wardflow.llm import decontaminate, jaccard_join, language_id, line_dedup, mixing, substring_dedup, toxicity
 from wardflow.session import materialize
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -76,3 +76,29 @@ def op10_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return substring_dedup.remove_repeats(docs).select(
         "doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256")
     )
+
+
+@query
+def op6_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    found = decontaminate.contamination(docs, table(spark, folder, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("item_ids").cast("long").alias("n_items"),
+        F.sha2(F.array_join("item_ids", ",").cast("binary"), 256).alias("items_sha256"),
+        "contaminated",
+    )
+
+
+@query
+def op4_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    found = line_dedup.dedup_lines(docs)
+    return found.select(
+        "doc_id",
+        F.col("n_lines").cast("long").alias("n_lines"),
+        F.size("removed_lines").cast("long").alias("n_removed"),
+        F.concat_ws(",", F.transform("removed_lines", lambda i: i.cast("string"))).alias("removed_lines"),
+    )
