@@ -115,3 +115,69 @@ SELECT d.doc_id, coalesce(len(string_split(d.text, chr(10))), 0)::BIGINT AS n_li
        coalesce(l.n_removed, 0)::BIGINT AS n_removed, coalesce(l.removed_lines, '') AS removed_lines
 FROM (SELECT row_number() OVER () AS rid, doc_id, text FROM documents) d LEFT JOIN listed l USING (rid)
 """
+
+
+# License names with the words of their usual notices, threshold.
+_TEMPLATES = (
+    "(0, 'Apache-2.0', 'Licensed under the Apache License, Version 2.0'), "
+    "(1, 'MIT', 'Released under the MIT License'), "
+    "(2, 'GPL-3.0', 'This work is licensed under the GNU General Public License, version 3'), "
+    "(3, 'CC-BY-NC-4.0', 'Licensed under CC BY-NC 4.0'), "
+    "(4, 'CC-BY-SA-4.0', 'Licensed under CC BY-SA 4.0'), "
+    "(5, 'BSD-3-Clause', 'Redistribution and use in source and binary forms are permitted'), "
+    "(6, 'MPL-2.0', 'This Source Code Form is subject to the terms of the Mozilla Public License'), "
+    "(7, 'Proprietary', 'All rights reserved')"
+)
+ORACLE_SQL["op3_license_scan"] = r"""
+WITH templates AS (SELECT * FROM (VALUES @TEMPLATES@) t(i, name, text)),
+tt AS (SELECT i, name, unnest(list_filter(list_distinct(regexp_split_to_array(lower(text), '[^a-z0-9]+')),
+              lambda x: x <> '')) AS term FROM templates),
+files AS (
+  SELECT row_number() OVER () AS rid, doc_id, text,
+    CASE WHEN doc_id IS NULL THEN NULL ELSE coalesce(source, 'none')
+      || CASE WHEN doc_id % 100 = 0 THEN '' ELSE '/' || floor(doc_id / 100)::BIGINT END
+      || CASE WHEN doc_id % 10 = 0 THEN '' ELSE '/' || floor(doc_id / 10)::BIGINT END
+      || CASE WHEN doc_id % 10 = 0 THEN '/LICENSE-' ELSE '/file-' END || doc_id END AS path
+  FROM documents
+), df AS (
+  SELECT term, count(*) AS df FROM (
+    SELECT unnest(list_distinct(regexp_split_to_array(lower(text), '[^a-z0-9]+'))) AS term FROM files)
+  WHERE term IN (SELECT term FROM tt) GROUP BY term
+), n AS (SELECT count(*) AS n FROM files),
+idf AS (
+  SELECT term, ln((n + 1.0::DOUBLE) / (coalesce(df, 0) + 1.0::DOUBLE)) + 1.0::DOUBLE AS idf
+  FROM (SELECT DISTINCT term FROM tt) LEFT JOIN df USING (term), n
+), w AS (
+  SELECT i, name, term, idf, idf / sqrt(sum(idf * idf) OVER (PARTITION BY i)) AS w FROM tt JOIN idf USING (term)
+), lines AS (
+  SELECT rid, no, list_filter(list_distinct(regexp_split_to_array(lower(line), '[^a-z0-9]+')),
+           lambda x: x <> '') AS terms
+  FROM (SELECT rid, unnest(string_split(text, chr(10))) AS line,
+               generate_subscripts(string_split(text, chr(10)), 1) AS no FROM files)
+), hits AS (
+  SELECT rid, no, len(terms) AS n_terms, term, idf FROM
+    (SELECT rid, no, terms, unnest(terms) AS term FROM lines) JOIN idf USING (term)
+), norms AS (
+  SELECT rid, no, sqrt(sum(idf * idf) + (any_value(n_terms) - count(*))
+    * (ln(any_value(n.n) + 1.0::DOUBLE) + 1.0::DOUBLE) ** 2) AS norm FROM hits, n GROUP BY rid, no
+), scores AS (
+  SELECT rid, no, i, name, round(sum(h.idf * w.w) / any_value(norm), 6) AS score
+  FROM hits h JOIN w USING (term) JOIN norms USING (rid, no) GROUP BY rid, no, i, name
+), own AS (
+  SELECT rid, name AS own_license, score AS own_score FROM scores WHERE score >= 0.6
+  QUALIFY row_number() OVER (PARTITION BY rid ORDER BY score DESC, no, i) = 1
+), located AS (
+  SELECT f.rid, doc_id, path, own_license, own_score FROM files f LEFT JOIN own USING (rid)
+), dirs AS (
+  SELECT regexp_replace(path, '/[^/]*$', '') AS dir, arg_min(own_license, path) AS license
+  FROM located WHERE doc_id % 10 = 0 AND own_license IS NOT NULL GROUP BY 1
+), above AS (
+  SELECT l.rid, arg_max(d.dir, length(d.dir)) AS dir, arg_max(d.license, length(d.dir)) AS license
+  FROM located l JOIN dirs d ON d.dir IN (regexp_replace(l.path, '/[^/]*$', ''),
+    regexp_replace(l.path, '/[^/]*/[^/]*$', ''), regexp_replace(l.path, '/[^/]*/[^/]*/[^/]*$', ''))
+  WHERE l.own_license IS NULL GROUP BY l.rid
+)
+SELECT doc_id, path, own_license, round(own_score, 4) AS own_score,
+       coalesce(own_license, a.license) AS license, a.dir AS inherited_from
+FROM located LEFT JOIN above a USING (rid)
+""".replace("@TEMPLATES@", _TEMPLATES)

@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardflow.llm import decontaminate, jaccard_join, language_id, line_dedup, mixing, substring_dedup, toxicity
+from wardflow.llm import (
+    decontaminate,
+    embedding_dedup,
+    jaccard_join,
+    language_id,
+    licenses,
+    line_dedup,
+    mixing,
+    substring_dedup,
+    suffix_tree,
+    toxicity,
+)
 from wardflow.session import materialize
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -102,3 +113,33 @@ def op4_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
         F.size("removed_lines").cast("long").alias("n_removed"),
         F.concat_ws(",", F.transform("removed_lines", lambda i: i.cast("string"))).alias("removed_lines"),
     )
+
+
+@query
+def op7_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = table(spark, folder, "embeddings").select("vec_id", "embedding")
+    return embedding_dedup.near_duplicates(vectors).select(
+        "vec_id", "n_links", "component_id", (F.col("vec_id") == F.col("component_id")).alias("kept")
+    )
+
+
+@query
+def op8_suffix_tree_score(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text", (fold("doc_id", 5) == 1).alias("held_out"))
+    scored = suffix_tree.score_texts(docs, docs.where("NOT held_out"))
+    return scored.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+@query
+def op3_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents as files. The table has no paths: a document lies in source/id div 100/id div 10,
+    and ids divisible by 10 (by 100, by all of them for the source) stand for license files."""
+    docs = table(spark, folder, "documents").select("doc_id", "source", "text")
+    number = F.col("doc_id")
+    parts = [F.coalesce("source", F.lit("none")), (F.floor(number / 100)).cast("string"), (F.floor(number / 10)).cast("string")]
+    name = F.concat(F.when(number % 10 == 0, F.lit("LICENSE-")).otherwise(F.lit("file-")), number.cast("string"))
+    depth = F.when(number % 100 == 0, F.concat_ws("/", parts[0], name)).when(
+        number % 10 == 0, F.concat_ws("/", parts[0], parts[1], name)
+    ).otherwise(F.concat_ws("/", *parts, name))
+    found = licenses.scan_licenses(docs, F.when(number.isNotNull(), depth), number % 10 == 0)
+    return found.select("doc_id", "path", "own_license", F.round("own_score", 4).alias("own_score"), "license", "inherited_from")
