@@ -107,20 +107,33 @@ def segment_keys(grams: np.ndarray, common: np.ndarray, counts: np.ndarray) -> n
     return np.concatenate(keys) if keys else np.empty(0, np.uint64)
 
 
+def parity_bits(grams: np.ndarray) -> np.ndarray:
+    """How often a set hits each bit, modulo 2, as 64-bit words: two to four bits for an n-gram.
+
+    Two sets that differ in d members differ in d bits at most. The table of half the size
+    is the two halves of this one, added.
+    """
+    bits = max(64, 1 << (2 * len(grams) - 1).bit_length())
+    hits = np.bincount((words.mixed(grams) % np.uint64(bits)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(hits.astype(np.uint8), bitorder="little").view(np.int64)
+
+
 def describe(docs: DataFrame, length: int) -> DataFrame:
     """Narrow rows of two kinds, from one pass over the texts.
 
-    kind 0: a document (row_key, set fingerprint, set size). kind 1: an n-gram (in ``fp``)
+    kind 0: a document (row_key, set fingerprint, set size, parity bits; the latter once for
+    equal sets of a batch). kind 1: an n-gram (in ``fp``)
     that several different sets of a batch have, and how many (in ``n``).
     """
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fps, sizes, seen, members = [], [], set(), []
+            fps, sizes, seen, members, parity = [], [], set(), [], []
             for grams in shingle_sets(batch.column("text"), length):
                 fp = fingerprint(grams) if len(grams) else 0
                 fps.append(fp)
                 sizes.append(len(grams))
+                parity.append(parity_bits(grams) if fp not in seen and len(grams) else None)
                 if fp not in seen:
                     seen.add(fp)
                     members.append(grams)
@@ -134,11 +147,14 @@ def describe(docs: DataFrame, length: int) -> DataFrame:
                     pa.array([*batch.column("doc_id").to_pylist(), *[None] * len(n)], pa.int64()),
                     pa.array(np.concatenate([np.array(fps, np.int64), shared])),
                     pa.array(np.concatenate([np.array(sizes, np.int64), n])),
+                    pa.array([*parity, *[None] * len(n)], pa.list_(pa.int64())),
                 ],
-                names=["kind", "row_key", "doc_id", "fp", "n"],
+                names=["kind", "row_key", "doc_id", "fp", "n", "parity"],
             )
 
-    return docs.mapInArrow(rows, "kind byte, row_key long, doc_id long, fp long, n long")
+    return docs.mapInArrow(
+        rows, "kind byte, row_key long, doc_id long, fp long, n long, parity array<long>"
+    )
 
 
 def index_keys(docs: DataFrame, length: int, common: list[tuple[int, int]]) -> DataFrame:
@@ -204,10 +220,11 @@ def similar_pairs(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def jaccard_groups(docs: DataFrame, *, length: int = WORDS) -> DataFrame:
-    """Rows (row_key, doc_id, n_shingles, component_id) for ``docs`` (doc_id, text).
+    """Rows (row_key, doc_id, n_shingles, component, component_id) for ``docs`` (doc_id, text).
 
     Documents link at a similarity of 0.8 of their n-gram sets; ``component_id`` is the
-    smallest doc_id reachable by links, the own one included. Texts that are NULL, empty or
+    smallest doc_id reachable by links, the own one included, ``component`` a number of the
+    group, 0 for none. Texts that are NULL, empty or
     blank have no n-gram and link with nothing. ``row_key`` identifies a row by id and text;
     repeated rows and rows with the same set link whatever their ids; NULL ids stay NULL
     unless a linked document has one. Other columns are not read. No rows give no rows.
@@ -233,24 +250,46 @@ def jaccard_groups(docs: DataFrame, *, length: int = WORDS) -> DataFrame:
         .select("key", "fp", "center").distinct(),
         "shared_keys",
     )
-    sizes = members.where("n > 0").groupBy("fp").agg(F.first("n").alias("n"), F.min("row_key").alias("row_key"))
-    candidates = shared.select("fp").distinct().join(sizes, "fp")
-    candidates = materialize(candidates, "candidates")
-    sets = sets_of(texts.join(candidates.select("row_key"), "row_key", "left_semi").select("text"), length)
-    sets = materialize(sets.dropDuplicates(["fp"]), "candidate_sets")
-    sized = candidates.select("fp", "n")
+    known = described.where("kind = 0 AND n > 0").groupBy("fp").agg(
+        F.first("n").alias("n"), F.min("row_key").alias("row_key"), F.max("parity").alias("parity")
+    )
+    sketches = materialize(shared.select("fp").distinct().join(known, "fp"), "sketches")
 
     def fitting(pairs: DataFrame) -> DataFrame:
-        """Pairs whose sizes allow the similarity."""
+        """Pairs whose sizes and parity bits allow the similarity."""
+
+        def side(name: str, n: str, bits: str) -> DataFrame:
+            return sketches.select(
+                F.col("fp").alias(name), F.col("n").alias(n), F.col("parity").alias(bits), F.col("row_key").alias(f"{name}_row")
+            )
+
+        def folded(bits: str, other: str):
+            half = (F.size(bits) / 2).cast("int")
+            halves = F.zip_with(F.slice(F.col(bits), F.lit(1), half), F.slice(F.col(bits), half + 1, half), lambda x, y: x.bitwiseXOR(y))
+            return F.when(F.size(bits) > F.size(other), halves).otherwise(F.col(bits))
+
+        differing = F.aggregate(
+            F.zip_with(folded("_u", "_v"), folded("_v", "_u"), lambda x, y: F.bit_count(x.bitwiseXOR(y))),
+            F.lit(0),
+            lambda total, x: total + x,
+        )
         return (
-            pairs.distinct()
-            .join(sized.select(F.col("fp").alias("a"), F.col("n").alias("_n")), "a")
-            .join(sized.select(F.col("fp").alias("b"), F.col("n").alias("_m")), "b")
-            .where("100 * least(_n, _m) >= 80 * greatest(_n, _m)").select("a", "b")
+            pairs.distinct().join(side("a", "_n", "_u"), "a").join(side("b", "_m", "_v"), "b")
+            .where("100 * least(_n, _m) >= 80 * greatest(_n, _m)")
+            .where(differing * 9 <= F.col("_n") + F.col("_m"))
+            .select("a", "b", "a_row", "b_row")
         )
 
-    star = fitting(shared.where("fp <> center").select(F.col("center").alias("a"), F.col("fp").alias("b")))
-    links = materialize(similar_pairs(star, sets), "links")
+    def verified(pairs: DataFrame, name: str) -> DataFrame:
+        """Links among the pairs, by the sets of the documents concerned."""
+        pairs = materialize(fitting(pairs), f"{name}_pairs")
+        rows = pairs.select(F.explode(F.array("a_row", "b_row")).alias("row_key")).distinct()
+        near = texts.join(rows.hint("merge"), "row_key", "left_semi").select("text")
+        sets = materialize(sets_of(near, length), f"{name}_sets")
+        return materialize(similar_pairs(pairs.select("a", "b"), sets).distinct(), f"{name}_links")
+
+    star = shared.where("fp <> center").select(F.col("center").alias("a"), F.col("fp").alias("b"))
+    links = verified(star, "star")
     labels = components(links)
     # What still lies in different components of one bucket, but for the pairs already tested.
     placed = shared.join(labels.withColumnRenamed("node", "fp"), "fp", "left").select(
@@ -261,8 +300,8 @@ def jaccard_groups(docs: DataFrame, *, length: int = WORDS) -> DataFrame:
     others = placed.where("fp <> center")
     left = others.select("key", F.col("fp").alias("a"), F.col("component").alias("_p"))
     right = others.select("key", F.col("fp").alias("b"), F.col("component").alias("_q"))
-    rest = fitting(left.join(right, "key").where("a < b AND _p <> _q").select("a", "b"))
-    more = materialize(similar_pairs(rest, sets), "more_links")
+    rest = left.join(right, "key").where("a < b AND _p <> _q").select("a", "b")
+    more = verified(rest, "rest") if not placed.isEmpty() else links.limit(0)
     if not more.isEmpty():
         labels = components(links.union(more))
     owned = members.join(labels.withColumnRenamed("node", "fp"), "fp", "left").withColumn(
@@ -271,7 +310,11 @@ def jaccard_groups(docs: DataFrame, *, length: int = WORDS) -> DataFrame:
     )
     smallest = owned.where("_group IS NOT NULL").groupBy("_group").agg(F.min("doc_id").alias("_least"))
     return owned.join(smallest, "_group", "left").select(
-        "row_key", "doc_id", F.col("n").alias("n_shingles"), F.coalesce("_least", "doc_id").alias("component_id")
+        "row_key",
+        "doc_id",
+        F.col("n").alias("n_shingles"),
+        F.coalesce("_group", F.lit(0)).alias("component"),
+        F.coalesce("_least", "doc_id").alias("component_id"),
     )
 
 
