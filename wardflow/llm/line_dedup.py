@@ -25,8 +25,14 @@ LEAST_WORDS_EDIT = 8
 BLANKS = r"[\x20\x09-\x0D]+"
 
 
+def words_of(line: Column) -> Column:
+    """Words of a line. Most lines have plain spaces only, which are quicker to split at."""
+    odd = line.rlike(r"[\x09-\x0D]")
+    return F.array_remove(F.when(odd, F.split(line, BLANKS)).otherwise(F.split(line, " ")), "")
+
+
 def lines_of(docs: DataFrame) -> DataFrame:
-    """Rows (place, row_key, line_no, words, n, h1, h2) of the lines that are compared.
+    """Rows (place, row_key, line_no, line, words, n, h1, h2) of the lines that are compared.
 
     ``place`` orders lines: by doc_id (NULL first), a hash of the text, and line number.
     """
@@ -37,13 +43,14 @@ def lines_of(docs: DataFrame) -> DataFrame:
             F.xxhash64("doc_id", "text").alias("row_key"),
             F.posexplode(F.split("text", "\n")).alias("line_no", "line"),
         )
-        .withColumn("words", F.array_remove(F.split("line", BLANKS), ""))
+        .withColumn("words", words_of(F.col("line")))
         .withColumn("n", F.size("words"))
         .where(F.col("n") >= LEAST_WORDS)
         .select(
             F.struct("doc_id", "text_key", "line_no").alias("place"),
             "row_key",
             "line_no",
+            "line",
             "words",
             "n",
             F.xxhash64("words").alias("h1"),
@@ -100,19 +107,24 @@ def one_edit(a: Column, b: Column) -> Column:
     return F.when(n == m, different <= 1).when(F.abs(n - m) == 1, rest).otherwise(False)
 
 
-def near_repeats(lines: DataFrame) -> DataFrame:
-    """Rows (h1, h2) of the distinct lines that have an earlier line within one edit."""
-    long_lines = lines.where(F.col("n") >= LEAST_WORDS_EDIT)
-    keyed = long_lines.select("h1", F.explode(half_keys(F.col("words"), F.col("n"))).alias("key"))
+def near_repeats(hashed: DataFrame, lines: DataFrame) -> DataFrame:
+    """Rows (h1, h2) of the distinct lines that have an earlier line within one edit.
+
+    ``hashed`` (h1, halves) are the lines as keys, ``lines`` the lines themselves.
+    """
+    keyed = hashed.select("h1", F.explode("halves").alias("key"))
     lowest, highest = F.expr("min(h1) OVER (PARTITION BY key)"), F.expr("max(h1) OVER (PARTITION BY key)")
     suspects = keyed.withColumn("_a", lowest).withColumn("_b", highest).where("_a <> _b").select("h1").distinct()
     suspects = materialize(suspects, "suspect_lines")
-    # One row for each distinct suspect line: its earliest place and its words.
+    # One row for each distinct suspect line: its earliest place and its words. Suspects grow
+    # with the lines; a merge join is planned for them at every size.
     distinct = (
-        long_lines.select("h1", "h2", "n", "words", "place").join(suspects, "h1", "left_semi")
+        lines.where(F.col("n") >= LEAST_WORDS_EDIT).select("h1", "h2", "n", "line", "place")
+        .join(suspects.hint("merge"), "h1", "left_semi")
         .groupBy("h1").agg(
-            F.min("place").alias("place"), F.first("h2").alias("h2"), F.first("n").alias("n"), F.first("words").alias("words")
+            F.min("place").alias("place"), F.first("h2").alias("h2"), F.first("n").alias("n"), F.first("line").alias("line")
         )
+        .select("h1", "place", "h2", "n", words_of(F.col("line")).alias("words"))
     )
     distinct = materialize(distinct, "distinct_lines")
     lowest, highest = F.expr("min(h1) OVER (PARTITION BY variant)"), F.expr("max(h1) OVER (PARTITION BY variant)")
@@ -144,8 +156,12 @@ def near_repeats(lines: DataFrame) -> DataFrame:
 def repeated_lines(docs: DataFrame) -> DataFrame:
     """Rows (row_key, removed): numbers of the lines of a document that go, in order."""
     lines = lines_of(docs)
-    near = materialize(near_repeats(lines).withColumn("_near", F.lit(True)), "near_lines")
-    places = lines.select("h1", "h2", "place", "row_key", "line_no")
+    halves = F.when(F.col("n") >= LEAST_WORDS_EDIT, half_keys(F.col("words"), F.col("n")))
+    hashed = materialize(
+        lines.select("h1", "h2", "place", "row_key", "line_no", halves.alias("halves")), "hashed_lines"
+    )
+    near = materialize(near_repeats(hashed, lines).withColumn("_near", F.lit(True)), "near_lines")
+    places = hashed.drop("halves")
     first = places.groupBy("h1", "h2").agg(F.min("place").alias("_first"))
     return (
         places.join(first, ["h1", "h2"]).join(near, ["h1", "h2"], "left")
