@@ -14,7 +14,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wardflow.llm import words
@@ -87,10 +87,11 @@ def repeated_places(found: DataFrame) -> DataFrame:
 
 
 def long_windows(docs: DataFrame, length: int) -> DataFrame:
-    """Rows (window, doc_id, text_key, row_key, at) for windows around repeated anchors.
+    """Rows (window, doc_id, order) for windows around repeated anchors.
 
     Of equal windows of a batch the earliest goes to the common hash; the others are
     later ones for sure and are sent under hashes of their own (negative, as above).
+    ``order`` holds 31 bits of the text's hash, which tell rows of one id apart, and the place.
     """
     period, _ = cover_for(length)
 
@@ -98,7 +99,7 @@ def long_windows(docs: DataFrame, length: int) -> DataFrame:
         for batch in batches:
             ids = batch.column("doc_id")
             order_ids = np.array([-(1 << 63) if x is None else x for x in ids.to_pylist()], np.int64)
-            text_keys, keys = np.asarray(batch.column("text_key")), np.asarray(batch.column("row_key"))
+            order_key = np.asarray(batch.column("order_key"))
             lists = batch.column("places")
             parts = []
             for run in words.runs(batch.column("text"), lower=False):
@@ -112,48 +113,52 @@ def long_windows(docs: DataFrame, length: int) -> DataFrame:
                     np.add.at(near, np.clip(places - period + 1, 0, n), 1)
                     np.add.at(near, np.clip(places + 1, 0, n), -1)
                     at = np.flatnonzero(np.cumsum(near)[:n])
-                    parts.append((grams[bounds[i] + at] >> np.uint64(1), np.full(len(at), run.first + i), at))
+                    owner = np.full(len(at), run.first + i)
+                    parts.append((grams[bounds[i] + at] >> np.uint64(1), owner, order_key[owner] + at))
             if not parts:
                 continue
-            h, owner, at = (np.concatenate(x) for x in zip(*parts, strict=True))
-            order = np.lexsort((at, text_keys[owner], order_ids[owner], h))
-            h, owner, at = h[order].view(np.int64), owner[order], at[order].astype(np.int32)
+            h, owner, order = (np.concatenate(x) for x in zip(*parts, strict=True))
+            sort = np.lexsort((order, order_ids[owner], h))
+            h, owner, order = h[sort].view(np.int64), owner[sort], order[sort]
             later = np.append(False, h[1:] == h[:-1])
-            # The same row twice in a batch is the same document, not a later one.
             first = np.maximum.accumulate(np.where(~later, np.arange(len(h)), 0))
-            same_as_first = later & (keys[owner] == keys[owner[first]]) & (at == at[first])
-            own = (words.mixed(keys[owner].view(np.uint64) + at.astype(np.uint64)) | np.uint64(1 << 63)).view(np.int64)
-            h = np.where(later & ~same_as_first, own, h)
-            owner, at, h = owner[~same_as_first], at[~same_as_first], h[~same_as_first]
+            # The same row twice in a batch is the same document, not a later one.
+            twice = later & (order_ids[owner] == order_ids[owner[first]]) & (order == order[first])
+            own = words.mixed(words.mixed(order_ids[owner].view(np.uint64)) + order.view(np.uint64))
+            h = np.where(later, (own | np.uint64(1 << 63)).view(np.int64), h)[~twice]
+            owner, order = owner[~twice], order[~twice]
             for i in range(0, len(h), 100_000):
-                o = owner[i : i + 100_000]
                 yield _batch(
                     ("window", h[i : i + 100_000]),
-                    ("doc_id", ids.take(pa.array(o))),
-                    ("text_key", text_keys[o]),
-                    ("row_key", keys[o]),
-                    ("at", at[i : i + 100_000]),
+                    ("doc_id", ids.take(pa.array(owner[i : i + 100_000]))),
+                    ("order", order[i : i + 100_000]),
                 )
 
-    return docs.mapInArrow(rows, "window long, doc_id long, text_key long, row_key long, at int")
+    return docs.mapInArrow(rows, "window long, doc_id long, order long")
+
+
+def order_key(text: str) -> Column:
+    """31 bits of a text's hash, in the upper half of a long."""
+    return F.shiftleft(F.shiftrightunsigned(F.xxhash64(text), 33), 32)
 
 
 def removed_starts(windows: DataFrame) -> DataFrame:
-    """Rows (row_key, starts): windows of a document that start earlier somewhere."""
-    earliest = Window.partitionBy("window").orderBy(F.col("doc_id").asc_nulls_first(), "text_key", "at")
-    first = F.struct(*[F.first(c).over(earliest).alias(c) for c in ("row_key", "at")])
+    """Rows (doc_id, order_key, starts): windows of a document that start earlier somewhere."""
+    earliest = Window.partitionBy("window").orderBy(F.col("doc_id").asc_nulls_first(), "order")
+    first = F.first(F.struct("doc_id", "order")).over(earliest)
     return (
         windows.withColumn("_first", first)
-        .where("window < 0 OR _first.row_key <> row_key OR _first.at <> at")
-        .groupBy("row_key").agg(F.collect_set("at").alias("starts"))
+        .where("window < 0 OR NOT (_first.doc_id <=> doc_id) OR _first.order <> order")
+        .groupBy("doc_id", F.col("order").bitwiseAND(F.lit(-(1 << 32))).alias("order_key"))
+        .agg(F.collect_set(F.col("order").bitwiseAND(F.lit((1 << 32) - 1)).cast("int")).alias("starts"))
     )
 
 
 def repeated_windows(docs: DataFrame, *, length: int = LENGTH) -> DataFrame:
-    """Rows (row_key, starts) for ``docs`` (row_key, text_key, doc_id, text)."""
+    """Rows (doc_id, order_key, starts) for ``docs`` (row_key, doc_id, text, others)."""
     places = repeated_places(anchors(docs, length))
-    near = docs.join(places, "row_key").select("doc_id", "text_key", "row_key", "text", "places")
-    return removed_starts(long_windows(near, length))
+    near = docs.join(places.hint("merge"), "row_key").withColumn("order_key", order_key("text"))
+    return removed_starts(long_windows(near.select("doc_id", "order_key", "text", "places"), length))
 
 
 def remove_repeats(docs: DataFrame, *, length: int = LENGTH) -> DataFrame:
@@ -169,13 +174,16 @@ def remove_repeats(docs: DataFrame, *, length: int = LENGTH) -> DataFrame:
     """
     own = ("n_words", "n_removed", "kept", "removed_spans")
     keep = [c for c in docs.columns if c not in own]
-    keyed = docs.select(
-        *keep,
-        F.xxhash64("doc_id", "text").alias("row_key"),
-        F.xxhash64("text").alias("text_key"),
+    # The same projection is joined twice by the same key, so its texts are shuffled once.
+    keyed = docs.select(*keep, F.xxhash64("doc_id", "text").alias("row_key"))
+    starts = repeated_windows(keyed, length=length).select(
+        F.col("doc_id").alias("_id"), F.col("order_key").alias("_order"), "starts"
+    )
+    rows = keyed.select(
+        "row_key", F.struct("doc_id", order_key("text").alias("order_key")).alias("_row")
     )
-    starts = repeated_windows(keyed.select("row_key", "text_key", "doc_id", "text"), length=length)
-    joined = keyed.join(starts, "row_key", "left")
+    by_row = starts.select(F.struct(F.col("_id").alias("doc_id"), F.col("_order").alias("order_key")).alias("_row"), "starts")
+    joined = keyed.join(by_row.join(rows, "_row").select("row_key", "starts").dropDuplicates(["row_key"]).hint("merge"), "row_key", "left")
 
     @F.pandas_udf("n_words long, n_removed long, kept string, removed_spans array<struct<begin:int,end:int>>")
     def cut(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
