@@ -131,6 +131,7 @@ def contamination(
     Columns of the result's names are replaced, others stay.
     """
     own = ("n_words", "n_hit", "item_ids", "spans", "near_ids", "contaminated")
+    id_type = dict(items.dtypes)["item_id"]
     keep = [c for c in docs.columns if c not in own]
     worded = docs.select(F.xxhash64("doc_id", "text").alias("row_key"), words_of(F.col("text")).alias("words"))
     items = materialize(item_words(items), "benchmark_items")
@@ -166,7 +167,7 @@ def contamination(
         )
 
     nothing = F.array().cast("array<string>")
-    spans = F.flatten(F.transform(F.coalesce("_found", F.array().cast("array<struct<item_id:bigint,begin:int,words:array<string>>>")), occurrences))
+    spans = F.flatten(F.transform(F.coalesce("_found", F.array().cast(f"array<struct<item_id:{id_type},begin:int,words:array<string>>>")), occurrences))
     hit = F.size(F.array_distinct(F.flatten(F.transform("spans", lambda s: F.sequence(s["begin"], s["end"] - 1)))))
     ids = F.array_sort(F.array_distinct(F.filter(F.transform("spans", lambda s: s["item_id"].cast("string")), lambda i: i.isNotNull())))
     return (

@@ -81,7 +81,9 @@ def mine_terms(sample: DataFrame, most_terms: int) -> list[tuple[str, float]]:
                 for term in terms_of(text):
                     seen.setdefault(term, [0, 0])[bool(toxic)] += 1
             counts = np.array(list(seen.values()), np.int64).reshape(-1, 2)
-            yield pd.DataFrame({"term": list(seen), "clean": counts[:, 0], "toxic": counts[:, 1]})
+            # A batch without any word must still have a text column.
+            names = pd.Series(list(seen), dtype=object)
+            yield pd.DataFrame({"term": names, "clean": counts[:, 0], "toxic": counts[:, 1]})
 
     total = {r["_toxic"]: r["count"] for r in sample.groupBy("_toxic").count().collect()}
     clean, toxic = total.get(False, 0), total.get(True, 0)
