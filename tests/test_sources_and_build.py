@@ -52,6 +52,13 @@ def test_conform_restores_type_codes_guessed_as_numbers(spark):
     assert tuple(row) == ("00", "x", "y", True)
 
 
+def test_conform_leaves_longer_type_codes_whole(spark):
+    guessed = spark.sql("SELECT 123 AS provider_type_code UNION ALL SELECT 7 UNION ALL SELECT NULL")
+    guessed = guessed.selectExpr("*", "'x' AS provider_type_label", "'y' AS category", "TRUE AS is_hrrp_eligible")
+    codes = {r["provider_type_code"] for r in conform(guessed, PROVIDER_TYPES).collect()}
+    assert codes == {"123", "07", None}
+
+
 def test_metrics_csv_with_zero_padded_number(spark, tmp_path):
     path = tmp_path / "metrics.csv"
     names = ",".join(f'"{name}"' for name in RAW_METRICS.names)

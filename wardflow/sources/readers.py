@@ -56,7 +56,8 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
             else:
                 column = column.try_cast(field.dataType)
             if field.name in TYPE_CODE_COLUMNS:
-                column = F.lpad(column, 2, "0")
+                # lpad would cut a longer code to its first two characters.
+                column = F.when(F.length(column) < 2, F.lpad(column, 2, "0")).otherwise(column)
         columns.append(column.alias(field.name))
     return df.select(*columns)
 
