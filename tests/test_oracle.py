@@ -5,9 +5,10 @@ from conftest import SMALL
 from oracle import connect, differences
 
 import __spark_entry__ as entry_module
+import oracle_queries
+from registered_queries import QUERIES
 
-QUERIES = entry_module.queries()
-ORACLE = entry_module.oracle_sql()
+ORACLE = oracle_queries.build()
 
 
 @pytest.fixture(scope="module")
