@@ -712,6 +712,8 @@ for _name in (
     "fct_readmissions",
 ):
     _QUERIES[_name] = f"SELECT * FROM {_name}"
+# However histories are cut, the result is the same.
+_QUERIES["int_readmissions_flagged_sliced"] = _QUERIES["int_readmissions_flagged"]
 
 
 def _with_views(sql: str) -> str:

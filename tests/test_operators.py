@@ -37,18 +37,15 @@ def brute_force(data):
     return previous
 
 
-@pytest.mark.parametrize(
-    "rows_per_slice,max_cuts", [(1_000_000, 100), (40, 1000), (3, 1000), (3, 5), (1, 100_000)]
-)
-def test_previous_equals_brute_force_however_cut(rows, rows_per_slice, max_cuts):
-    data = make_history(1200, seed=rows_per_slice + max_cuts)
+@pytest.mark.parametrize("rows_per_slice", [1_000_000, 400, 40, 3, 1])
+def test_previous_equals_brute_force_however_cut(rows, rows_per_slice):
+    data = make_history(1200, seed=rows_per_slice)
     result = with_previous(
         rows(data, SCHEMA),
         "who",
         ["day", F.length("id"), "id"],
         ["id", "left"],
         rows_per_slice=rows_per_slice,
-        max_cuts=max_cuts,
     )
     got = {r["id"]: r["previous"] and tuple(r["previous"]) for r in result.collect()}
     assert got == brute_force(data)

@@ -37,7 +37,7 @@ def test_rollup_reads_only_its_columns(spark):
 def test_window_is_dropped_where_no_flag_is_read(spark):
     for name in ("audit_ref_integrity", "test_relationships"):
         text = plan(QUERIES[name](spark, SMALL))
-        assert "lag(" not in text and "_cuts" not in text
+        assert "lag(" not in text
 
 
 def test_admissions_are_counted_before_they_meet_a_dimension(spark):
@@ -53,7 +53,7 @@ def test_flagging_shuffles_admissions_once(spark):
     df = QUERIES["int_readmissions_flagged"](spark, SMALL)
     df.collect()
     final = plan(df).split("Initial Plan")[0]
-    # Without cut points the run ends up as a plain window: one full shuffle.
+    # No patient has a long history: a plain window, one full shuffle.
     assert final.count("Exchange hashpartitioning") == 1
     assert "Join" not in final
 
@@ -64,14 +64,18 @@ def test_a_person_with_a_third_of_all_rows_is_spread(spark):
     try:
         df = spark.range(30_000).select(
             F.col("id").cast("string").alias("id"),
-            F.when(F.col("id") % 3 == 0, "busy").otherwise(F.col("id") % 997).alias("who"),
+            F.when(F.col("id") % 3 == 0, "busy").otherwise((F.col("id") % 997).cast("string")).alias("who"),
             F.expr("date_add(DATE'2024-01-01', CAST(id % 5 AS INT))").alias("day"),
         )
         result = with_previous(df, "who", ["day", F.length("id"), "id"], ["id"], rows_per_slice=200)
         sizes = [
             r["count"] for r in result.groupBy(F.spark_partition_id()).count().collect()
         ]
+        text = plan(result)
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
         spark.conf.set("spark.sql.shuffle.partitions", "4")
     assert sum(sizes) == 30_000 and max(sizes) < 6_000
+    # Neither window on long groups keeps a group together.
+    windows = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", text)
+    assert sum("_slice" in keys or "_w" in keys for keys in windows) >= 2

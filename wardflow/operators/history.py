@@ -1,4 +1,4 @@
-"""Previous row within a history, also where one history is enormous."""
+"""Rows of a group in their order, also where one group is enormous."""
 
 from __future__ import annotations
 
@@ -7,9 +7,51 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from wardflow.session import materialize
+
 ROWS_PER_SLICE = 250_000
-MAX_CUTS = 100_000
-FEWEST_CUTS = 2
+#: Largest number of long groups that is broadcast; more are joined by a shuffle.
+BROADCAST_GROUPS = 100_000
+
+
+def split_long_groups(
+    df: DataFrame, group: str, rows_per_slice: int = ROWS_PER_SLICE
+) -> tuple[DataFrame, DataFrame | None]:
+    """Rows of the groups that fit a task, and those of the others (None if there are none).
+
+    Rows are counted per group first, on the group column alone and before the
+    shuffle. Of ``n`` rows at most ``n / rows_per_slice`` groups are long.
+    """
+    # A struct is never NULL and equal to one with the same content, so rows
+    # without a group match by plain equality.
+    member = F.struct(F.col(group).alias("v"))
+    sizes = df.groupBy(member.alias("_long")).agg(F.count("*").alias("_n"))
+    long = materialize(sizes.where(F.col("_n") > rows_per_slice).select("_long"), "long_groups")
+    count = long.count()
+    if not count:
+        return df, None
+    long = F.broadcast(long) if count <= BROADCAST_GROUPS else long
+    return (
+        df.join(long, member == F.col("_long"), "left_anti"),
+        df.join(long, member == F.col("_long"), "left_semi"),
+    )
+
+
+def in_slices(
+    df: DataFrame, group: str, order: Sequence[Column], rows_per_slice: int = ROWS_PER_SLICE
+) -> DataFrame:
+    """Add ``_place``, growing with (group, order), and ``_slice``, runs of places.
+
+    Rows are dealt out by ranges of (group, order), sorted, and cut into runs of at
+    most ``rows_per_slice``, so a long group lies in many tasks and slices. Both columns are fixed
+    by where rows lie: use a result once, or write it before using it twice.
+    """
+    keys = [F.col(group), *order]
+    dealt = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    # The id is the number of the partition, then that of the row in it.
+    return dealt.withColumn("_place", F.monotonically_increasing_id()).withColumn(
+        "_slice", F.expr(f"_place div {int(rows_per_slice)}L")
+    )
 
 
 def with_previous(
@@ -19,102 +61,55 @@ def with_previous(
     carried: Sequence[str],
     *,
     rows_per_slice: int = ROWS_PER_SLICE,
-    max_cuts: int = MAX_CUTS,
 ) -> DataFrame:
     """Add struct ``previous``: ``carried`` of the preceding row, NULL at the start.
 
     Equal to ``lag`` over ``group`` ordered by ``order`` (then by what is carried),
-    but a window keeps a whole group in one task. So long groups are cut into
-    consecutive slices, each its own window partition, and the last row of a
-    slice is handed to the first row of the next one.
-
-    * Cut points are keys of the data itself, picked by hash with a chance of
-      1 in ``rows_per_slice``: a long group is cut about every that many rows. A
-      group with a single hit is most likely a short one and stays whole. The
-      points depend on values alone, so a recomputed task finds the same ones.
-      They only decide where a history is cut; every row is kept.
-    * At most ``max_cuts`` cut points exist, whatever the size of ``df``, and at
-      most two handed-over rows per cut point; that bound is why both tables
-      can be broadcast. Should it be reached, slices get longer, not wrong.
-    * ``df`` is shuffled once. With no cut point found, adaptive execution drops
-      both joins and a plain window remains.
+    but a window keeps a whole group in one task. Groups of more than
+    ``rows_per_slice`` rows therefore go another way:
+
+    * they are sorted over all tasks and cut into consecutive slices, and each
+      slice is a window partition of its own;
+    * the first row of a slice takes what it needs from the last row of the
+      slice before: first and last rows form a second window, which holds two
+      rows per slice, while the others stay spread by their slices.
+
+    A job counts the rows per group before. Where no group is long, which is the
+    common case, the result is the plain window and ``df`` is shuffled once.
+    Rows that agree in all keys and carried columns are interchangeable.
     """
     names = [part for part in order if isinstance(part, str)]
     ties = [F.col(name) for name in carried if name not in names]
     sort_key = [F.col(part) if isinstance(part, str) else part for part in order] + ties
-    key = F.struct(*[column.alias(f"k{i}") for i, column in enumerate(sort_key)])
-    # A struct is never NULL and equal to one with the same content, so rows
-    # without a group match by plain equality, and Spark can see that both joins
-    # add no rows and drop them where nothing of ``previous`` is read.
-    member = F.struct(F.col(group))
-
-    cuts = F.broadcast(_cut_points(df, member, key, rows_per_slice, max_cuts))
-    slice_number = F.when(F.col("_cuts").isNull(), 0).otherwise(
-        _count_not_above(F.col("_cuts"), key, max_cuts)
+    short, long = split_long_groups(df, group, rows_per_slice)
+
+    inner, lagged = _lag(carried, Window.partitionBy(group).orderBy(*sort_key))
+    result = short.select(*df.columns, F.when(inner, lagged).alias("previous"))
+    if long is None:
+        return result
+
+    in_slice = Window.partitionBy(group, "_slice").orderBy("_place")
+    inner, lagged = _lag(carried, in_slice)
+    cut = in_slices(long, group, sort_key, rows_per_slice).select(
+        *df.columns,
+        "_place",
+        "_slice",
+        inner.alias("_inner"),
+        lagged.alias("_lagged"),
+        F.lead(F.lit(True)).over(in_slice).isNull().alias("_last"),
     )
-
-    # Last row of every slice, addressed to the slice after it.
-    handed_over = (
-        df.join(cuts, member == F.col("_cut_member"))
-        .groupBy(F.col("_cut_member").alias("_to_member"), (slice_number + 1).alias("_to_slice"))
-        .agg(F.max(F.struct(key.alias("key"), *carried)).alias("_handed"))
-    )
-
-    in_slice = Window.partitionBy(group, "_slice").orderBy(
-        *[column.asc_nulls_first() for column in sort_key]
-    )
-    has_row_before = F.lag(F.lit(True)).over(in_slice)
-    previous = F.struct(*[F.lag(name).over(in_slice).alias(name) for name in carried])
-    handed = F.struct(*[F.col("_handed")[name].alias(name) for name in carried])
-    sliced = df.join(cuts, member == F.col("_cut_member"), "left").withColumn(
-        "_slice", slice_number
-    )
-    return (
-        sliced.select(
-            *df.columns, "_slice", has_row_before.alias("_inner"), previous.alias("_lag")
-        )
-        .join(
-            F.broadcast(handed_over),
-            (member == F.col("_to_member")) & (F.col("_slice") == F.col("_to_slice")),
-            "left",
-        )
-        .withColumn(
-            "previous",
-            F.when(F.col("_inner"), F.col("_lag")).when(F.col("_handed").isNotNull(), handed),
+    at_edge = F.col("_inner").isNull() | F.col("_last")
+    edges = Window.partitionBy(group, F.when(~at_edge, F.col("_slice"))).orderBy("_place")
+    has_edge, handed = _lag(carried, edges)
+    return result.unionByName(
+        cut.select(
+            *df.columns,
+            F.when(F.col("_inner"), F.col("_lagged")).when(has_edge, handed).alias("previous"),
         )
-        .select(*df.columns, "previous")
     )
 
 
-def _cut_points(
-    df: DataFrame, member: Column, key: Column, rows_per_slice: int, max_cuts: int
-) -> DataFrame:
-    """One row per group that is cut at all: its sorted cut keys."""
-    return (
-        df.select(member.alias("_cut_member"), key.alias("_key"))
-        .withColumn("_hash", F.xxhash64("_cut_member", "_key"))
-        .where(F.pmod("_hash", F.lit(rows_per_slice)) == 0)
-        .distinct()
-        .orderBy("_hash", "_cut_member", "_key")
-        .limit(max_cuts)
-        .groupBy("_cut_member")
-        .agg(F.array_sort(F.collect_set("_key")).alias("_cuts"))
-        .where(F.size("_cuts") >= FEWEST_CUTS)
-    )
-
-
-def _count_not_above(sorted_keys: Column, key: Column, longest: int) -> Column:
-    """How many of the sorted keys are <= ``key``, by steps of falling powers of two."""
-    steps = F.array(*[F.lit(1 << bit) for bit in reversed(range(longest.bit_length()))])
-
-    def search(wanted: Column) -> Column:
-        def advance(found: Column, step: Column) -> Column:
-            # A place past the end holds NULL, which is not <= anything.
-            last = F.get(sorted_keys, found + step - 1)
-            return F.when(last <= wanted, found + step).otherwise(found)
-
-        return F.aggregate(steps, F.lit(0), advance)
-
-    # Bound as a lambda argument the key is built once per row, not once per step.
-    found = F.get(F.transform(F.array(key), search), F.lit(0))
-    return F.coalesce(found, F.lit(0))  # never NULL; says so to the optimizer
+def _lag(carried: Sequence[str], window) -> tuple[Column, Column]:
+    """TRUE where a row precedes (else NULL), and what is carried over from it."""
+    values = F.struct(*[F.lag(name).over(window).alias(name) for name in carried])
+    return F.lag(F.lit(True)).over(window), values

@@ -12,7 +12,7 @@ from wardflow.functions.rules import (
     READMISSION_WINDOW_DAYS,
     is_readmission,
 )
-from wardflow.operators.history import MAX_CUTS, ROWS_PER_SLICE, with_previous
+from wardflow.operators.history import ROWS_PER_SLICE, with_previous
 
 CCN_LENGTH = 6
 
@@ -89,7 +89,6 @@ def int_readmissions_flagged(
     window_days: int = READMISSION_WINDOW_DAYS,
     exclusions: Sequence[str] = PLANNED_EXCLUSIONS,
     rows_per_slice: int = ROWS_PER_SLICE,
-    max_cuts: int = MAX_CUTS,
 ) -> DataFrame:
     """Every admission with the patient's previous stay and the readmission flag.
 
@@ -104,7 +103,6 @@ def int_readmissions_flagged(
         order,
         ["admission_id", "discharge_date"],
         rows_per_slice=rows_per_slice,
-        max_cuts=max_cuts,
     )
     prior_discharge = F.col("previous.discharge_date")
     admission = F.col("admission_date")
