@@ -181,3 +181,50 @@ SELECT doc_id, path, own_license, round(own_score, 4) AS own_score,
        coalesce(own_license, a.license) AS license, a.dir AS inherited_from
 FROM located LEFT JOIN above a USING (rid)
 """.replace("@TEMPLATES@", _TEMPLATES)
+
+
+# Divisor of the ids, crc32 polynomial, most shared turns.
+ORACLE_SQL["op12_conversation_trie"] = r"""
+WITH turns AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST,
+           md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) AS place
+  FROM conversations WHERE conv_id IS NOT NULL
+), crc AS (
+  SELECT conv_id, xor(list_reduce(list_concat([4294967295::BIGINT],
+           list_transform(range(length(conv_id::VARCHAR)), lambda i: ascii(substr(conv_id::VARCHAR, i + 1, 1))::BIGINT)),
+           lambda c, b: list_reduce(list_concat([xor(c, b)], range(8)),
+             lambda x, i: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295) AS code
+  FROM (SELECT DISTINCT conv_id FROM turns)
+), heads AS (SELECT conv_id, code % 4 AS h, conv_id - conv_id % 20 AS source FROM crc
+), rebuilt AS (
+  SELECT h.conv_id, 0 AS own, t.place, struct_pack(r := role, t := text) AS turn
+  FROM heads h JOIN turns t ON t.conv_id = h.source AND t.place <= h.h
+  UNION ALL
+  SELECT h.conv_id, 1, t.place, struct_pack(r := role, t := text)
+  FROM heads h JOIN turns t ON t.conv_id = h.conv_id AND t.place > h.h
+), convs AS (
+  SELECT h.conv_id, coalesce(list(turn ORDER BY own, place) FILTER (WHERE turn IS NOT NULL), []) AS turns
+  FROM heads h LEFT JOIN rebuilt r ON r.conv_id = h.conv_id GROUP BY h.conv_id
+), members AS (
+  SELECT conv_id, len(turns) AS n, d AS depth, turns[1 : d] AS path
+  FROM (SELECT *, unnest(range(len(turns) + 1)) AS d FROM convs)
+), nodes AS (
+  SELECT path, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+         coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE n = depth), '') AS ends,
+         CASE WHEN depth = 0 THEN 0
+           ELSE (count(*) - 1) * len(regexp_extract_all(path[depth].t, '[^\x20\x09-\x0D]+')) END AS saved
+  FROM members GROUP BY path, depth
+), linked AS (
+  SELECT a.*, b.conv_id AS parent_conv_id FROM nodes a
+  LEFT JOIN nodes b ON a.depth > 0 AND b.depth = a.depth - 1 AND b.path = a.path[1 : a.depth - 1]
+), counted AS (
+  SELECT l.*, (SELECT count(*) FROM linked c WHERE c.parent_conv_id = l.conv_id AND c.depth = l.depth + 1) AS n_children
+  FROM linked l
+), above AS (
+  SELECT path[1 : d] AS top, (n_children = 0)::BIGINT AS leaf, saved
+  FROM (SELECT path, n_children, saved, unnest(range(depth + 1)) AS d FROM counted)
+), rolled AS (SELECT top, sum(leaf)::BIGINT AS n_leaves, sum(saved)::BIGINT AS saved_tokens FROM above GROUP BY top)
+SELECT conv_id, depth, parent_conv_id, n_convs, n_children, n_leaves, saved_tokens, sha256(ends) AS ends_sha256
+FROM counted c JOIN rolled r ON r.top = c.path
+"""

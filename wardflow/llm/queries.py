@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardflow.llm import (
+    conversation_trie,
     decontaminate,
     embedding_dedup,
     jaccard_join,
@@ -143,3 +144,13 @@ def op3_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     ).otherwise(F.concat_ws("/", *parts, name))
     found = licenses.scan_licenses(docs, F.when(number.isNotNull(), depth), number % 10 == 0)
     return found.select("doc_id", "path", "own_license", F.round("own_score", 4).alias("own_score"), "license", "inherited_from")
+
+
+@query
+def op12_conversation_trie(spark: SparkSession, folder: str) -> DataFrame:
+    """Conversations rebuilt on the first turns of the one whose id is the next lower multiple of 20."""
+    conv_id = F.col("conv_id")
+    heads = F.crc32(conv_id.cast("string").cast("binary")) % 4
+    ordered = materialize(conversation_trie.ordered_turns(table(spark, folder, "conversations")), "ordered_turns")
+    convs, turns = conversation_trie.with_shared_heads(ordered, conv_id - conv_id % 20, heads, 3)
+    return conversation_trie.prefix_trie(convs, turns)
