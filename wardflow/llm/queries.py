@@ -11,6 +11,7 @@ from wardflow.llm import (
     conversation_trie,
     decontaminate,
     embedding_dedup,
+    hard_negatives,
     jaccard_join,
     language_id,
     licenses,
@@ -154,3 +155,13 @@ def op12_conversation_trie(spark: SparkSession, folder: str) -> DataFrame:
     ordered = materialize(conversation_trie.ordered_turns(table(spark, folder, "conversations")), "ordered_turns")
     convs, turns = conversation_trie.with_shared_heads(ordered, conv_id - conv_id % 20, heads, 3)
     return conversation_trie.prefix_trie(convs, turns)
+
+
+@query
+def op11_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    """Anchors are the vectors whose id is divisible by 50; ids divisible by 7 get another label."""
+    vectors = table(spark, folder, "embeddings").select("vec_id", "embedding", "label")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.hard_negatives(
+        hard_negatives.quantised(vectors.withColumn("label", moved)), F.col("id") % 50 == 0
+    )
