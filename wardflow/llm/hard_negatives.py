@@ -78,7 +78,7 @@ def hard_negatives(
     signs = F.aggregate(F.slice("vector", 1, 16), F.lit(0), lambda code, x: code * 2 + F.when(x < 0, 1).otherwise(0))
     chosen = in_slices(rows.where(is_anchor), "label", [signs, F.col("id")], block_rows)
     chosen = materialize(chosen.withColumnsRenamed({"_place": "anchor", "_slice": "block"}), "anchors")
-    blocks = [r.block for r in chosen.select("block").distinct().orderBy("block").collect()]
+    blocks = _blocks(chosen, block_rows)
     if not blocks:
         return rows.sparkSession.createDataFrame([], RESULT)
 
@@ -101,15 +101,27 @@ def hard_negatives(
 RESULT = "anchor_id long, positive_id long, rank int, negative_id long, positive_score long, negative_score long"
 
 
-def _passes(rows: DataFrame, anchors: DataFrame, blocks: Sequence[int], width: int, search: Callable, schema: str) -> DataFrame:
+def _blocks(anchors: DataFrame, most: int) -> list[tuple[int, int]]:
+    """First and last slice of each block: neighbouring slices with ``most`` anchors at most."""
+    blocks, size = [], most
+    for number, count in anchors.groupBy("block").count().orderBy("block").toLocalIterator():
+        if size + count > most:
+            blocks.append((number, number))
+            size = 0
+        blocks[-1] = blocks[-1][0], number
+        size += count
+    return blocks
+
+
+def _passes(rows: DataFrame, anchors: DataFrame, blocks: Sequence[tuple[int, int]], width: int, search: Callable, schema: str) -> DataFrame:
     """What ``search`` finds for the anchors of each block, one pass over ``rows`` per block.
 
     At most ``BLOCK_ROWS`` anchors and ``BLOCK_BYTES`` of vectors are on the driver at a time.
     """
     context = rows.sparkSession.sparkContext
     out = []
-    for number in blocks:
-        members = anchors.where(F.col("block") == number).toArrow()
+    for first, last in blocks:
+        members = anchors.where(F.col("block").between(first, last)).toArrow()
         if not members.num_rows:
             continue
         sent = context.broadcast(Block.of(members, width))
@@ -166,13 +178,21 @@ class Rows:
 
 
 class Block(Rows):
-    """Anchors with their keys and, in the second phase, positives."""
+    """Anchors with their keys, trees (one, or one per label) and, in the second phase, positives."""
 
     @classmethod
     def of(cls, members: pa.Table, width: int):
         block = super().of(members, width)
         block.keys = np.asarray(members.column("anchor"))
-        block.positives = members.column("positives").to_pylist() if "positives" in members.column_names else []
+        if "positives" in members.column_names:
+            block.positives = members.column("positives").to_pylist()
+            block.tree = spanning_tree(block.values)
+        else:
+            block.groups = []
+            for label in np.unique(block.labels):
+                places = np.flatnonzero(block.labels == label)
+                part = Rows(block.ids[places], block.labels[places], block.whole[places])
+                block.groups.append((label, places, part, spanning_tree(part.values)))
         return block
 
 
@@ -265,14 +285,9 @@ class _Positives:
     def __init__(self, block: Block, n: int):
         self.block, self.n = block, n
         self.found = [(np.empty(0, np.int64), np.empty(0, np.int64)) for _ in block.ids]
-        self.groups = []
-        for label in np.unique(block.labels):
-            members = np.flatnonzero(block.labels == label)
-            part = Rows(block.ids[members], block.labels[members], block.whole[members])
-            self.groups.append((label, members, part, spanning_tree(part.values)))
 
     def add(self, rows: Rows) -> None:
-        for label, members, part, tree in self.groups:
+        for label, members, part, tree in self.block.groups:
             same = np.flatnonzero(rows.labels == label)
             if not len(same):
                 continue
@@ -307,7 +322,7 @@ class _Negatives:
     names = ("anchor", "id", "score", "positive")
 
     def __init__(self, block: Block, n: int):
-        self.block, self.n, self.tree = block, n, spanning_tree(block.values)
+        self.block, self.n = block, n
         top = np.iinfo(np.int64).max
         self.windows = [
             [
@@ -332,7 +347,7 @@ class _Negatives:
                 return np.inf, -np.inf
             return float(min(self._from(a, r, low) for r, low, _ in windows)), float(max(high for _, _, high in windows))
 
-        for a, places, scores in descend(self.block, self.tree, rows, wanted):
+        for a, places, scores in descend(self.block, self.block.tree, rows, wanted):
             other = rows.labels[places] != self.block.labels[a]
             places, scores = places[other], scores[other]
             for rank, low, high in self.windows[a]:
