@@ -28,7 +28,7 @@ from wardflow.operators.history import ROWS_PER_SLICE, in_slices, split_long_gro
 from wardflow.session import materialize
 
 #: Nodes of a part that one task finishes.
-PART = 4_096
+PART = 1_024
 #: Characters of a list of ids that are passed on as one row.
 ID_CHUNK = 1 << 16
 
@@ -143,14 +143,16 @@ def prefix_trie(convs: DataFrame, turns: DataFrame, *, part: int = PART, rows_pe
         "weighed_nodes",
     )
     totals = subtree_totals(inner, paths, part)
-    below = inner.agg(
-        F.coalesce(F.count_if(F.col("depth") == 1), F.lit(0)).alias("n_children"),
-        F.greatest(F.coalesce(F.sum("leaf"), F.lit(0)), F.lit(1)).alias("n_leaves"),
-        F.coalesce(F.sum("saved"), F.lit(0)).alias("saved_tokens"),
+    zero = F.lit(0).cast("long")
+    counted = convs.select("conv_id", F.lit(1).cast("long").alias("n"), zero.alias("child"), zero.alias("leaf"), zero.alias("saved")).unionByName(
+        inner.select(F.lit(None).cast("long").alias("conv_id"), zero.alias("n"), (F.col("depth") == 1).cast("long").alias("child"), "leaf", "saved")
     )
-    root = convs.agg(F.min("conv_id").alias("conv_id"), F.count("*").alias("n_convs")).where("n_convs > 0").join(F.broadcast(below), F.lit(True))
+    root = counted.agg(
+        F.min("conv_id").alias("conv_id"), F.sum("n").alias("n_convs"), F.sum("child").alias("n_children"),
+        F.greatest(F.sum("leaf"), F.lit(1)).alias("n_leaves"), F.sum("saved").alias("saved_tokens"),
+    ).where("n_convs > 0")
     root = root.select(
-        F.expr(ROOT).alias("node"), "conv_id", F.lit(0).cast("long").alias("depth"), F.lit(None).cast("long").alias("parent_conv_id"),
+        F.expr(ROOT).alias("node"), "conv_id", zero.alias("depth"), F.lit(None).cast("long").alias("parent_conv_id"),
         "n_convs", "n_children", "n_leaves", "saved_tokens",
     )
     above = found.select(F.col("node").alias("parent"), F.col("conv_id").alias("_above"))
