@@ -18,6 +18,7 @@ from wardflow.llm import (
     line_dedup,
     mixing,
     substring_dedup,
+    suffix_dedup,
     suffix_tree,
     toxicity,
 )
@@ -165,3 +166,12 @@ def op11_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
     return hard_negatives.hard_negatives(
         hard_negatives.quantised(vectors.withColumn("label", moved)), F.col("id") % 50 == 0
     )
+
+
+@query
+def op13_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    found = suffix_dedup.remove_earlier_strings(docs)
+    return found.select(
+        "doc_id", "n_bytes", "n_removed", F.size("removed_spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256")
+    )
