@@ -3,8 +3,11 @@
 No task could hold the suffix array of all texts, so texts are cut where equal strings are
 cut alike: a window of ``length`` bytes is labelled by the least hash of the ``GRAM``-byte
 strings in it, and consecutive windows of one label form a piece. Equal windows have equal
-labels, so the suffix array of each label's pieces finds all of them. Pieces
-whose label occurs in one document only need none, and equal pieces go into it once.
+labels, so the suffix array of each label's pieces finds all of them. Only pieces whose
+label occurs in several documents are cut out and sent to their label.
+
+What very many documents share does not pile up at one label: of equal pieces in a batch of
+documents only the one with the least id is sent, as the others are covered by it as a whole.
 """
 
 from __future__ import annotations
@@ -15,7 +18,7 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wardflow.llm import words
@@ -24,14 +27,16 @@ from wardflow.session import materialize
 
 LENGTH = 50
 #: Bytes of the strings whose hashes label a window.
-GRAM = 24
+GRAM = 20
 #: Windows of a piece at most; longer runs of a label (repetitive text) are cut.
 PIECE = 64
-#: Different pieces of a label at most that go to one suffix array whole.
+#: Pieces of a label at most that go to one suffix array whole.
 LABEL_PIECES = 512
 #: Bytes of pieces that a task sorts at a time, and of texts that it labels at a time.
 SORT_BYTES, RUN_BYTES = 1 << 21, 1 << 20
 
+SPANS = "array<struct<begin:int,end:int>>"
+
 
 def remove_earlier_strings(docs: DataFrame, *, length: int = LENGTH, label_pieces: int = LABEL_PIECES) -> DataFrame:
     """Add n_bytes, n_removed, removed_spans and kept (binary) to ``docs`` (doc_id, text).
@@ -66,50 +71,36 @@ def remove_earlier_strings(docs: DataFrame, *, length: int = LENGTH, label_piece
 
 def removed_spans(docs: DataFrame, length: int, label_pieces: int) -> DataFrame:
     """Rows (id, version, spans): for documents that lose bytes, spans that cover them (they may overlap)."""
-    seen = docs.mapInArrow(_labels(length), "label long, id long")
-    ids = seen.groupBy("label").agg(F.min("id").alias("least"), F.max("id").alias("most"))
-    shared = materialize(ids.where("least < most").select("label"), "shared_labels")
-    places = docs.mapInArrow(_places(length), "label long, id long, version long, start int, n int").join(shared, "label")
-    of_doc = places.groupBy("id", "version").agg(F.collect_list(F.struct("label", "start", "n")).alias("places"))
-    pieces = docs.join(of_doc, ["id", "version"]).mapInArrow(
-        _pieces(length), "label long, id long, version long, start int, n int, piece binary"
-    )
-    pieces = materialize(pieces.select("*", *_hashes()), "pieces")
-    different = _different(pieces)
-    counts = different.groupBy("label").agg(F.count("*").alias("pieces"))
+    seen = docs.mapInArrow(_labels(length), "label long, id long, known boolean")
+    # Rows of labels that are known to be shared are spread by their ids.
+    same = Window.partitionBy("label", F.when(F.col("known"), F.col("id")))
+    shared = seen.select("*", F.min("id").over(same).alias("least"), F.max("id").over(same).alias("most")).where("known OR least < most")
+    labels = materialize(shared.groupBy("id").agg(F.collect_set("label").alias("labels")), "shared_labels")
+    cut = docs.join(labels, "id").select("id", "version", "text", "labels").mapInArrow(_pieces(length), f"{PIECES}, spans {SPANS}")
+    cut = materialize(cut, "pieces")
+    spans = [cut.where("piece IS NULL").select("id", "version", "spans")]
+    pieces = cut.where("piece IS NOT NULL").drop("spans")
+    counts = pieces.groupBy("label").agg(F.count("*").alias("pieces"))
     crowded = materialize(counts.where(F.col("pieces") > label_pieces), "crowded_labels")
     if not crowded.isEmpty():
         # Pieces of a label that very many have are cut into windows, dealt out by their hash.
-        few, many = pieces.join(crowded, "label", "left_anti"), pieces.join(crowded, "label")
-        at = F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("at")
-        window = F.expr(f"substring(piece, at + 1, {int(length)})")
-        single = many.select("*", at).withColumn("piece", window).drop("name", "check").select("*", *_hashes())
         shares = F.greatest(F.lit(1), F.expr(f"pieces * {PIECE // 2} div {int(label_pieces)}"))
-        label = F.xxhash64("label", F.pmod("name", shares))
-        single = single.select(label.alias("label"), "id", "version", (F.col("start") + F.col("at")).alias("start"), F.lit(1).alias("n"), "piece", "name", "check")
-        pieces = materialize(few.select(*single.columns).unionByName(single), "pieces")
-        different = _different(pieces)
-    sorted_pieces = different.repartition("label").sortWithinPartitions("label")
-    found = materialize(
-        sorted_pieces.mapInArrow(_least_ids(length), "label long, name long, check long, parts array<struct<begin:int,end:int,least:long>>"), "least_ids"
-    )
-    hit = pieces.select("label", "name", "check", "id", "version", "start").join(found, ["label", "name", "check"])
-    parts = F.filter("parts", lambda p: p["least"] < F.col("id"))
-    spans = F.transform(parts, lambda p: F.struct((F.col("start") + p["begin"]).alias("begin"), (F.col("start") + p["end"]).alias("end")))
-    hit = hit.select("id", "version", spans.alias("spans")).where(F.size("spans") > 0)
-    return hit.groupBy("id", "version").agg(F.flatten(F.collect_list("spans")).alias("spans"))
+        many = pieces.join(crowded, "label").mapInArrow(_windows(length), f"{PIECES}, pieces long, spans {SPANS}")
+        many = materialize(many, "windows")
+        spans.append(many.where("piece IS NULL").select("id", "version", "spans"))
+        label = F.xxhash64("label", F.pmod(F.xxhash64("piece"), shares)).alias("label")
+        single = many.where("piece IS NOT NULL").select(label, *[c for c in pieces.columns if c != "label"])
+        pieces = pieces.join(crowded, "label", "left_anti").unionByName(single)
+    dealt = pieces.repartition("label").sortWithinPartitions("label")
+    spans.append(dealt.mapInArrow(_covered(length), f"id long, version long, spans {SPANS}"))
+    every = spans[0]
+    for more in spans[1:]:
+        every = every.unionByName(more)
+    return materialize(every, "spans").groupBy("id", "version").agg(F.flatten(F.collect_list("spans")).alias("spans"))
 
 
-def _hashes() -> list[Column]:
-    """Two hashes, 128 bits, by which a piece is known among those of its label."""
-    return [F.xxhash64("piece").alias("name"), F.xxhash64(F.lit(1), "piece").alias("check")]
-
-
-def _different(pieces: DataFrame) -> DataFrame:
-    """Each piece once, with the least id of the documents that have it."""
-    return materialize(
-        pieces.groupBy("label", "name", "check").agg(F.min("id").alias("least"), F.min("piece").alias("piece")), "different_pieces"
-    )
+#: A piece of a document and the places where it begins there.
+PIECES = "label long, id long, version long, starts array<int>, piece binary"
 
 
 def _runs(texts: pa.Array, length: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
@@ -183,71 +174,133 @@ def _send(names: list[str], columns: list, size: int = 100_000) -> Iterator[pa.R
 
 
 def _labels(length: int):
-    """Rows (label, id), each once for the least and once for the largest id of a batch."""
+    """Rows (label, id, known) of the labels of each text.
+
+    A label that several ids of a run have is known to be shared: its rows say so, and the least
+    and the largest of the ids go out once more, unmarked, for others to see.
+    """
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = np.asarray(batch.column("id"))
             for owner, _, _, label in _runs(batch.column("text"), length):
-                frame = np.lexsort((ids[owner], label))
-                label, of = label[frame], ids[owner][frame]
+                order = np.lexsort((ids[owner], label))
+                label, of = label[order], ids[owner][order]
+                once = np.append(True, (label[1:] != label[:-1]) | (of[1:] != of[:-1]))[: len(label)]
+                label, of = label[once], of[once]
                 first = np.append(True, label[1:] != label[:-1])[: len(label)]
                 last = np.append(first[1:], True)[: len(label)]
-                edge = first | (last & (of != of[np.maximum.accumulate(np.where(first, np.arange(len(label)), 0))]))
-                yield from _send(["label", "id"], [label[edge], of[edge]])
+                known = ~(first & last)
+                edge = known & (first | last)
+                for some, mark in ((slice(None), known), (edge, np.zeros(int(edge.sum()), bool))):
+                    yield from _send(["label", "id", "known"], [label[some], of[some], mark])
 
     return rows
 
 
-def _places(length: int):
-    """Rows (label, id, version, start, n) of all pieces."""
-
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids, versions = np.asarray(batch.column("id")), np.asarray(batch.column("version"))
-            for owner, start, n, label in _runs(batch.column("text"), length):
-                columns = [label, ids[owner], versions[owner], start.astype(np.int32), n.astype(np.int32)]
-                yield from _send(["label", "id", "version", "start", "n"], columns)
+class _Pieces:
+    """Pieces of a batch: rows to send, and what equal pieces of smaller ids cover already."""
+
+    def __init__(self):
+        self.label: list[int] = []
+        self.id: list[int] = []
+        self.version: list[int] = []
+        self.starts: list[list[int]] = []
+        self.piece: list[bytes] = []
+
+    def add(self, label: int, id_: int, version: int, starts: list[int], piece: bytes) -> None:
+        self.label.append(label)
+        self.id.append(id_)
+        self.version.append(version)
+        self.starts.append(starts)
+        self.piece.append(piece)
+
+    def batches(self, extra: dict[str, list] | None = None) -> Iterator[pa.RecordBatch]:
+        least: dict[bytes, int] = {}
+        for piece, i in zip(self.piece, self.id, strict=True):
+            if i < least.get(piece, i + 1):
+                least[piece] = i
+        sent: dict[tuple, int] = {}
+        gone: dict[tuple, list] = {}
+        places = {}
+        for row, (i, version, starts, piece) in enumerate(zip(self.id, self.version, self.starts, self.piece, strict=True)):
+            if i > least[piece]:
+                spans = gone.setdefault((i, version), [])
+                for start in starts:
+                    if spans and spans[-1][0] <= start <= spans[-1][1]:
+                        spans[-1][1] = max(spans[-1][1], start + len(piece))
+                    else:
+                        spans.append([start, start + len(piece)])
+            else:
+                first = sent.setdefault((i, version, piece), row)
+                places.setdefault(first, []).extend(starts)
+        rows = list(places)
+        yield from self._send(
+            [[self.label[r] for r in rows], [self.id[r] for r in rows], [self.version[r] for r in rows], list(places.values()),
+             [self.piece[r] for r in rows], *([column[r] for r in rows] for column in (extra or {}).values()), [None] * len(rows)],
+            extra,
+        )
+        keys, none = list(gone), [None] * len(gone)
+        spans = [[{"begin": b, "end": e} for b, e in gone[k]] for k in keys]
+        yield from self._send([none, [k[0] for k in keys], [k[1] for k in keys], none, none, *(none for _ in extra or {}), spans], extra)
 
-    return rows
+    @staticmethod
+    def _send(columns: list[list], extra) -> Iterator[pa.RecordBatch]:
+        span = pa.list_(pa.struct([("begin", pa.int32()), ("end", pa.int32())]))
+        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.binary(), *[pa.int64()] * len(extra or {}), span]
+        names = ["label", "id", "version", "starts", "piece", *(extra or {}), "spans"]
+        for at in range(0, len(columns[1]), 20_000):
+            arrays = [pa.array(c[at : at + 20_000], kind) for c, kind in zip(columns, kinds, strict=True)]
+            yield pa.RecordBatch.from_arrays(arrays, names=names)
 
 
 def _pieces(length: int):
-    """The bytes of the pieces listed with each text."""
+    """Pieces of each text whose label is among its ``labels``."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["label", "id", "version", "start", "n", "piece"]
         for batch in batches:
-            out: list[list] = [[] for _ in names]
             ids, versions = batch.column("id").to_pylist(), batch.column("version").to_pylist()
-            lists, texts = batch.column("places"), batch.column("text")
-            for i in range(batch.num_rows):
-                data, places = texts[i].as_py().encode(), lists[i].values
-                label, start, n = (places.field(f).to_pylist() for f in ("label", "start", "n"))
-                out[0] += label
-                out[1] += [ids[i]] * len(label)
-                out[2] += [versions[i]] * len(label)
-                out[3] += start
-                out[4] += n
-                out[5] += [data[s : s + k + length - 1] for s, k in zip(start, n, strict=True)]
-                if len(out[0]) > 50_000:
-                    yield _piece_batch(names, out)
-                    out = [[] for _ in names]
-            if out[0]:
-                yield _piece_batch(names, out)
+            lists, texts = batch.column("labels"), batch.column("text")
+            sizes = np.diff(np.asarray(lists.offsets))
+            wanted = _pair(np.repeat(np.arange(len(sizes)), sizes), np.asarray(lists.flatten()))
+            found, data, open_text = _Pieces(), b"", -1
+            for owner, start, n, label in _runs(texts, length):
+                # A pair that is taken for another by its hash is one piece too many, no more.
+                some = np.flatnonzero(np.isin(_pair(owner, label), wanted))
+                for o, s, k, mark in zip(owner[some].tolist(), start[some].tolist(), n[some].tolist(), label[some].tolist(), strict=True):
+                    if o != open_text:
+                        data, open_text = texts[o].as_py().encode(), o
+                    found.add(mark, ids[o], versions[o], [s], data[s : s + k + length - 1])
+            yield from found.batches()
 
     return rows
 
 
-def _piece_batch(names, out) -> pa.RecordBatch:
-    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
-    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds, strict=True)], names=names)
+def _pair(owner: np.ndarray, label: np.ndarray) -> np.ndarray:
+    return words.mixed(words.mixed(label.view(np.uint64)) + owner.astype(np.uint64))
+
 
+def _windows(length: int):
+    """The windows of pieces as pieces of their own."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found, counts = _Pieces(), []
+            for label, i, version, starts, piece, count in zip(
+                *[batch.column(c).to_pylist() for c in ("label", "id", "version", "starts", "piece", "pieces")], strict=True
+            ):
+                for at in range(len(piece) - length + 1):
+                    found.add(label, i, version, [s + at for s in starts], piece[at : at + length])
+                    counts.append(count)
+            yield from found.batches({"pieces": counts})
+
+    return rows
 
-def _least_ids(length: int):
-    """For each piece, the least id of the documents that have each of its windows.
 
-    Rows come sorted by label. The pieces of a label form one text, each followed by
+def _covered(length: int):
+    """Spans of pieces that have windows of smaller ids.
+
+    Rows come sorted by label. The different pieces of a label form one text, each followed by
     a symbol of its own kind; windows that begin alike are neighbours in its suffix array.
     """
 
@@ -263,56 +316,75 @@ def _least_ids(length: int):
                     continue
                 rows_here = pa.Table.from_batches(waiting).combine_chunks()
                 labels = np.asarray(rows_here.column("label"))
-                whole = int(np.searchsorted(labels, labels[-1]))  # the last label may go on
+                whole = int(np.searchsorted(labels == labels[-1], True))  # the last label may go on
                 if whole:
-                    yield from found(rows_here.slice(0, whole))
+                    yield from spans_of(rows_here.slice(0, whole))
                 waiting = rows_here.slice(whole).combine_chunks().to_batches()
                 size = sum(b.column("piece").nbytes for b in waiting)
         if waiting:
-            yield from found(pa.Table.from_batches(waiting))
-
-    def found(table: pa.Table) -> Iterator[pa.RecordBatch]:
-        columns = {name: pa.concat_arrays(table.column(name).chunks) for name in table.column_names}
-        labels, ids, pieces = np.asarray(columns["label"]), np.asarray(columns["least"]), columns["piece"]
-        offsets = np.frombuffer(pieces.buffers()[1], np.int32)[pieces.offset : pieces.offset + len(pieces) + 1].astype(np.int64)
-        data = np.frombuffer(pieces.buffers()[2], np.uint8)[offsets[0] : offsets[-1]]
-        sizes = np.diff(offsets)
-        # Symbols: 0 after each piece, else the byte plus 1 (UTF-8 has no byte 255).
-        piece_of = np.repeat(np.arange(len(sizes)), sizes + 1)
-        begins = offsets[:-1] - offsets[0] + np.arange(len(sizes))
-        at = np.arange(len(piece_of)) - begins[piece_of]
-        symbols = np.zeros(len(piece_of), np.uint8)
-        symbols[at < sizes[piece_of]] = data + 1
-        new = np.flatnonzero(np.append(True, labels[1:] != labels[:-1]))
-        order = suffix_arrays(symbols.astype(np.int64), np.append(begins[new], len(symbols)))
-        # Only places at which a window begins; equal windows lie side by side.
-        order = order[at[order] + length <= sizes[piece_of[order]]]
-        same = labels[piece_of[order[1:]]] == labels[piece_of[order[:-1]]]
-        wide = min(8, length)
-        padded = np.append(symbols, np.zeros(length + 8, np.uint8))
-        views = np.ndarray((len(symbols) + length,), "<u8", padded.tobytes(), 0, (1,)) if wide == 8 else padded
-        for k in {*range(0, length - wide, wide), length - wide} if wide == 8 else range(length):
-            same &= views[order[1:] + k] == views[order[:-1] + k]
-        head = np.flatnonzero(np.append(True, ~same))
-        least = np.minimum.reduceat(ids[piece_of[order]], head)
-        of_window = np.empty(len(symbols), np.int64)
-        of_window[order] = np.repeat(least, np.diff(np.append(head, len(order))))
-        # Consecutive windows of a piece with the same least id form a part.
-        windows = np.sort(order)
-        of, low, piece = at[windows], of_window[windows], piece_of[windows]
-        cut = np.flatnonzero(np.append(True, (piece[1:] != piece[:-1]) | (low[1:] != low[:-1])))
-        last = np.append(cut[1:], len(windows)) - 1
-        parts = pa.StructArray.from_arrays(
-            [pa.array(of[cut].astype(np.int32)), pa.array((of[last] + length).astype(np.int32)), pa.array(low[cut])],
-            ["begin", "end", "least"],
-        )
-        bounds = np.searchsorted(piece[cut], np.arange(len(sizes) + 1)).astype(np.int32)
-        keys = ["label", "name", "check"]
-        yield pa.RecordBatch.from_arrays([*[columns[k] for k in keys], pa.ListArray.from_arrays(pa.array(bounds), parts)], [*keys, "parts"])
+            yield from spans_of(pa.Table.from_batches(waiting))
+
+    def spans_of(table: pa.Table) -> Iterator[pa.RecordBatch]:
+        label, ids, versions, starts, pieces = (table.column(c).to_pylist() for c in ("label", "id", "version", "starts", "piece"))
+        different: dict[tuple, int] = {}
+        of = [different.setdefault(key, len(different)) for key in zip(label, pieces, strict=True)]
+        least = np.full(len(different), np.iinfo(np.int64).max)
+        np.minimum.at(least, of, ids)
+        lists = least_ids(np.array([k[0] for k in different], np.int64), [k[1] for k in different], least, length)
+        out: list[tuple] = []
+        for row, piece in enumerate(of):
+            spans = [
+                {"begin": start + begin, "end": start + end}
+                for begin, end, low in zip(*lists[piece], strict=True) if low < ids[row] for start in starts[row]
+            ]
+            if spans:
+                out.append((ids[row], versions[row], spans))
+        span = pa.list_(pa.struct([("begin", pa.int32()), ("end", pa.int32())]))
+        for at in range(0, len(out), 20_000):
+            columns = zip(*out[at : at + 20_000], strict=True)
+            arrays = [pa.array(c, kind) for c, kind in zip(columns, (pa.int64(), pa.int64(), span), strict=True)]
+            yield pa.RecordBatch.from_arrays(arrays, names=["id", "version", "spans"])
 
     return rows
 
 
+def least_ids(labels: np.ndarray, pieces: list[bytes], ids: np.ndarray, length: int) -> list[tuple[list, list, list]]:
+    """For each piece its parts (begin, end, least id): runs of windows whose least id is the same.
+
+    Rows of one label lie together; ``ids`` holds the least id that has the piece.
+    """
+    sizes = np.fromiter(map(len, pieces), np.int64, len(pieces))
+    data = np.frombuffer(b"".join(pieces), np.uint8)
+    # Symbols: 0 after each piece, else the byte plus 1 (UTF-8 has no byte 255).
+    piece_of = np.repeat(np.arange(len(sizes)), sizes + 1)
+    begins = np.cumsum(sizes + 1) - sizes - 1
+    at = np.arange(len(piece_of)) - begins[piece_of]
+    symbols = np.zeros(len(piece_of), np.uint8)
+    symbols[at < sizes[piece_of]] = data + 1
+    new = np.flatnonzero(np.append(True, labels[1:] != labels[:-1]))
+    order = suffix_arrays(symbols.astype(np.int64), np.append(begins[new], len(symbols)))
+    # Only places at which a window begins; equal windows lie side by side.
+    order = order[at[order] + length <= sizes[piece_of[order]]]
+    same = labels[piece_of[order[1:]]] == labels[piece_of[order[:-1]]]
+    wide = 8 if length >= 8 else 1
+    padded = np.append(symbols, np.zeros(length + 8, np.uint8))
+    views = np.ndarray((len(symbols) + length,), f"<u{wide}", padded.tobytes(), 0, (1,))
+    for k in {*range(0, length - wide, wide), length - wide}:
+        same &= views[order[1:] + k] == views[order[:-1] + k]
+    head = np.flatnonzero(np.append(True, ~same))
+    least = np.minimum.reduceat(ids[piece_of[order]], head)
+    of_window = np.empty(len(symbols), np.int64)
+    of_window[order] = np.repeat(least, np.diff(np.append(head, len(order))))
+    # Consecutive windows of a piece with the same least id form a part.
+    windows = np.sort(order)
+    offset, low, piece = at[windows], of_window[windows], piece_of[windows]
+    cut = np.flatnonzero(np.append(True, (piece[1:] != piece[:-1]) | (low[1:] != low[:-1])))
+    last = np.append(cut[1:], len(windows)) - 1
+    begin, end, low = offset[cut].tolist(), (offset[last] + length).tolist(), low[cut].tolist()
+    bounds = np.searchsorted(piece[cut], np.arange(len(sizes) + 1)).tolist()
+    return [(begin[a:b], end[a:b], low[a:b]) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+
+
 def _cutter() -> Callable[..., Column]:
     @F.pandas_udf("n_removed long, removed_spans array<struct<begin:int,end:int>>, kept binary")
     def cut(texts: pd.Series, begins: pd.Series, ends: pd.Series) -> pd.DataFrame:
