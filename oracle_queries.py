@@ -276,7 +276,8 @@ def _enriched(padded: bool) -> str:
         a.readm_worse_count, p.provider_ccn IS NULL AS missing_provider_data,
         a.facility_id IS NULL AS missing_admissions_data, p.fiscal_year_begin_date
         FROM (SELECT facility_id,
-                round(avg(excess_readmission_ratio), 6) AS avg_excess_readmission_ratio,
+                CAST(sum(CAST(excess_readmission_ratio AS DECIMAL(26, 12))) AS DOUBLE)
+                    / count(excess_readmission_ratio) AS avg_excess_readmission_ratio,
                 CAST(sum(number_of_readmissions) AS BIGINT) AS total_readmissions,
                 CAST(sum(number_of_discharges) AS BIGINT) AS total_discharges,
                 count(DISTINCT CASE WHEN excess_readmission_ratio IS NOT NULL
@@ -345,6 +346,17 @@ _VIEWS = {
             'Transplant'][o_orderkey % 10 + 1] AS diagnosis_category,
         CAST(o_orderkey % 7 + 1 AS INTEGER) AS length_of_stay
         FROM orders""",
+    "uploaded_events": """SELECT admission_id, patient_id,
+        CASE WHEN key % 19 = 0 THEN 'F' ELSE '' END || facility_id AS facility_id,
+        CASE WHEN key % 17 = 0 THEN 'pending'
+            WHEN key % 13 = 0 THEN strftime(admission_date, '%m/%d/%Y')
+            ELSE CAST(admission_date AS VARCHAR) END AS admission_date,
+        CASE WHEN key % 29 <> 0 THEN CAST(discharge_date AS VARCHAR) END AS discharge_date,
+        admission_type, diagnosis_category,
+        length_of_stay || CASE WHEN key % 23 = 0 THEN ' days' ELSE '' END AS length_of_stay
+        FROM (SELECT *, CAST(admission_id AS BIGINT) AS key FROM admission_events)""",
+    "raw_readmissions_events": f"""SELECT facility_id, admission_date, discharge_date, length_of_stay
+        FROM uploaded_events""",
     "raw_hospital_readmissions": f"""SELECT {_facility('l_suppkey')} AS "Facility ID",
         'Facility ' || l_suppkey AS "Facility Name",
         ['AL', 'CA', 'NY', 'TX', 'WA'][l_suppkey % 5 + 1] AS "State",
@@ -539,7 +551,28 @@ def _losses() -> str:
             'TRY_CAST("Hospital overall rating" AS INTEGER)',
         ),
     ] + [(old, _NO_VALUE, f'TRY_CAST("{old}" AS INTEGER)') for old, _ in _HOSPITAL_COUNTS]
-    return _union(parts + [_lost("raw_admissions", *row) for row in hospital])
+    parts += [_lost("raw_admissions", *row) for row in hospital]
+    days = {
+        "fiscalYearBeginDate": "fiscal_year_begin_date",
+        "fiscalYearEndDate": "fiscal_year_end_date",
+        "effectiveDate": "effective_date",
+        "exportDate": "export_date",
+        "terminationDate": "termination_date",
+    }
+    for old, new in days.items():
+        known = "AND termination_date NOT IN (20610701, 19000101)" if old == "terminationDate" else ""
+        parts.append(
+            f"""SELECT 'raw_providers' AS table_name, '{old}' AS column_name, count(*) AS lost_values
+            FROM raw_providers WHERE {new} IS NOT NULL {known} AND {_day(new)} IS NULL"""
+        )
+    uploads = {
+        "facility_id": "TRY_CAST(facility_id AS BIGINT)",
+        "admission_date": _date("admission_date"),
+        "discharge_date": _date("discharge_date"),
+        "length_of_stay": "TRY_CAST(length_of_stay AS INTEGER)",
+    }
+    parts += [_lost("raw_readmissions_events", name, "", cast) for name, cast in uploads.items()]
+    return _union(parts)
 
 
 _RATE_COLUMNS = f"""count(*) AS total_admissions,
@@ -685,6 +718,10 @@ _QUERIES = {
         FROM fct_readmissions f LEFT JOIN dim_conditions c ON f.measure_code = c.measure_code
         LEFT JOIN dim_providers p ON f.facility_id = p.facility_id""",
     "audit_cast_losses": _losses(),
+    "conformed_events": f"""SELECT admission_id, patient_id,
+        TRY_CAST(facility_id AS BIGINT) AS facility_id, {_date('admission_date')} AS admission_date,
+        {_date('discharge_date')} AS discharge_date, admission_type, diagnosis_category,
+        TRY_CAST(length_of_stay AS INTEGER) AS length_of_stay FROM uploaded_events""",
     "test_not_null": _NOT_NULL_SQL,
     "test_unique": _UNIQUE_SQL,
     "test_accepted_values": _ACCEPTED_SQL,

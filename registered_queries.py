@@ -15,7 +15,8 @@ from wardflow.plans import audits, intermediate, marts, reports, staging, suite
 from wardflow.session import materialize
 from wardflow.sources import reference_rows
 from wardflow.sources.sample_inputs import SampleInputs
-from wardflow.sources.schemas import PROVIDER_DATES
+from wardflow.sources.readers import conform
+from wardflow.sources.schemas import ADMISSION_EVENTS, PROVIDER_DATES
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -91,11 +92,6 @@ class Frames:
         )
 
 
-def _settled(df: DataFrame, column: str = "avg_excess_readmission_ratio") -> DataFrame:
-    """Six digits of an average of doubles, below which summing order shows."""
-    return df.withColumn(column, F.round(column, 6))
-
-
 # ---- models ----
 
 
@@ -135,16 +131,14 @@ def stg_providers(f: Frames) -> DataFrame:
 
 @query
 def int_providers_enriched(f: Frames) -> DataFrame:
-    return _settled(f.enriched)
+    return f.enriched
 
 
 @query
 def int_providers_enriched_padded(f: Frames) -> DataFrame:
     """Provider join on zero-padded numbers."""
-    return _settled(
-        intermediate.int_providers_enriched(
-            f.metrics, f.providers, f.hospitals, ccn_padded=True
-        )
+    return intermediate.int_providers_enriched(
+        f.metrics, f.providers, f.hospitals, ccn_padded=True
     )
 
 
@@ -161,7 +155,7 @@ def int_readmissions_flagged_sliced(f: Frames) -> DataFrame:
 
 @query
 def dim_providers(f: Frames) -> DataFrame:
-    return _settled(f.dim_providers)
+    return f.dim_providers
 
 
 @query
@@ -273,6 +267,7 @@ def readmission_rate_by_condition_state(f: Frames) -> DataFrame:
 
 @query
 def providers_above_expected(f: Frames) -> DataFrame:
+    f.providers = materialize(f.providers.select(*intermediate.PROVIDER_ATTRIBUTES), "stg_providers")
     return reports.providers_above_expected(f.dim_providers, f.providers)
 
 
@@ -321,11 +316,21 @@ def audit_ref_integrity(f: Frames) -> DataFrame:
 
 @query
 def audit_cast_losses(f: Frames) -> DataFrame:
-    return audits.cast_losses(f.raw.metrics, f.raw.hospitals)
+    """Losses of staging casts, and of bringing uploaded admissions to their contract."""
+    return audits.cast_losses(f.raw.metrics, f.raw.hospitals, f.raw.providers).unionByName(
+        audits.conform_losses(f.raw.uploaded_events, "raw_readmissions_events", ADMISSION_EVENTS)
+    )
+
+
+@query
+def conformed_events(f: Frames) -> DataFrame:
+    """Admissions uploaded as texts, brought to their contract."""
+    return conform(f.raw.uploaded_events, ADMISSION_EVENTS)
 
 
 @query
 def test_not_null(f: Frames) -> DataFrame:
+    f.providers = materialize(f.providers.select(*intermediate.PROVIDER_ATTRIBUTES), "stg_providers")
     return suite.not_null_tests(f.key_models)
 
 
@@ -361,8 +366,10 @@ def test_window_30(f: Frames) -> DataFrame:
 
 @query
 def dq_suite(f: Frames) -> DataFrame:
-    """All tests. Models that several tests read are written once first."""
+    """All tests. Models that several tests read are written once first; the fact is read
+    for its summary and, keys only, for its unique ids."""
     f.metrics = materialize(f.metrics, "stg_hrrp_metrics")
     f.providers = materialize(f.providers, "stg_providers")
     f.enriched = materialize(f.enriched, "int_providers_enriched")
-    return suite.dq_suite(f.models)
+    summary = materialize(suite.fact_summary(f.fact), "fact_summary")
+    return suite.dq_suite(f.key_models, summary)

@@ -4,8 +4,9 @@ import pytest
 from fixtures import event_row, hospital_row, metric_row, provider_row, sources
 from pyspark.sql import functions as F
 
+from wardflow.functions.rules import exact_avg
 from wardflow.plans import audits, intermediate, marts, reports, staging, suite
-from wardflow.plans.build import ChecksFailed, require
+from wardflow.plans.build import ChecksFailed, require, results_of
 
 D = dt.date
 
@@ -230,5 +231,34 @@ def test_suite_finds_seeded_defects(spark):
     assert got["relationships_fct_readmissions_measure_code"] == ("WARN", 1)
     assert got["unique_dim_providers_facility_id"] == ("FAIL", 1)
     with pytest.raises(ChecksFailed) as failure:
-        require(results, "all")
+        require(results_of(results), "all")
     assert len(failure.value.failed) == 26
+
+
+def test_average_is_exact(spark):
+    """An average just above 1 counts as above 1, however rows are dealt out."""
+    ratios = ["1.0000001", "1.0000002", "1.0", "0.1", "0.2", "0.3", "1.0000001"]
+    metrics = [metric_row(1, f"M{i}", **{"Excess Readmission Ratio": r}) for i, r in enumerate(ratios[:3])]
+    metrics += [metric_row(2, f"M{i}", **{"Excess Readmission Ratio": r}) for i, r in enumerate(["1.0000001", "0.9999999"])]
+    metrics += [metric_row(3, f"M{i}", **{"Excess Readmission Ratio": r}) for i, r in enumerate(["1.0000001"] * 3)]
+    _, m = models(spark, metrics=metrics)
+    found = reports.providers_above_expected(m.dim_providers, m.stg_providers)
+    got = {r.facility_id: r.avg_excess_readmission_ratio for r in found.collect()}
+    assert got == {1: 1.0000001, 3: 1.0000001}
+    values = spark.range(20_000).selectExpr("id", "(id * 7919 % 10007) / 3000 AS v")
+    averages = {values.repartition(n).agg(exact_avg(F.col("v"))).first()[0] for n in (1, 3, 8, 50)}
+    assert len(averages) == 1
+    assert spark.range(1).selectExpr("CAST(NULL AS DOUBLE) AS v").agg(exact_avg(F.col("v"))).first()[0] is None
+
+
+def test_suite_reads_the_fact_for_its_summary_only(spark):
+    _, m = models(spark)
+    summary = suite.fact_summary(m.fct_readmissions)
+    kept = spark.createDataFrame(summary.collect(), summary.schema)
+    checks_of_summary = {r.check: r.violations for r in suite.dq_suite(m, kept).collect()}
+    assert checks_of_summary == {r.check: r.violations for r in suite.dq_suite(m).collect()}
+    assert len(checks_of_summary) == 27
+    # Summaries of parts add up to the summary of the whole.
+    parts = m.fct_readmissions.where("admission_id < 'A002'"), m.fct_readmissions.where("admission_id >= 'A002'")
+    both = suite.fact_summary(parts[0]).unionByName(suite.fact_summary(parts[1]))
+    assert sorted(map(tuple, suite.fact_row_tests(both).collect())) == sorted(map(tuple, suite.fact_row_tests(summary).collect()))

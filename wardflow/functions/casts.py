@@ -64,3 +64,38 @@ def yes_no(column: Column | str) -> Column:
     """BOOLEAN from exactly 'Yes' or 'No'; anything else is NULL."""
     text = _column(column)
     return F.when(text == "Yes", True).when(text == "No", False)
+
+
+# ---- the same as SQL text, for views that the catalog keeps ----
+
+
+def sql_name(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def sql_value(value: str | int | bool) -> str:
+    if isinstance(value, str):
+        return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    return str(value).upper() if isinstance(value, bool) else str(value)
+
+
+def sql_values(values: Sequence[str | int]) -> str:
+    return ", ".join(sql_value(value) for value in values)
+
+
+def date_of_sql(text: str) -> str:
+    return f"coalesce(TRY_CAST({text} AS DATE), try_to_date({text}, 'MM/dd/yyyy'))"
+
+
+def sentinel_cast_sql(text: str, to: str, sentinels: Sequence[str] = COUNT_SENTINELS) -> str:
+    value = date_of_sql(text) if to == "date" else f"TRY_CAST({text} AS {to})"
+    return f"CASE WHEN {text} NOT IN ({sql_values(sentinels)}) THEN {value} END" if sentinels else value
+
+
+def yyyymmdd_sql(number: str, null_values: Sequence[int] = ()) -> str:
+    day = f"try_to_date(CAST({number} AS STRING), 'yyyyMMdd')"
+    return f"CASE WHEN {number} NOT IN ({sql_values(null_values)}) THEN {day} END" if null_values else day
+
+
+def yes_no_sql(text: str) -> str:
+    return f"CASE {text} WHEN 'Yes' THEN TRUE WHEN 'No' THEN FALSE END"

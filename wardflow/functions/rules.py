@@ -79,3 +79,13 @@ def settled_avg(column: Column, digits: int) -> Column:
     which can flip a rounded last digit between two runs; decimals cannot.
     """
     return F.round(F.avg(column.cast("decimal(18,8)")), digits).cast("double")
+
+
+def exact_avg(column: Column) -> Column:
+    """Average that is the same in whatever order values are added; NULL without values.
+
+    Values are added as fixed-point numbers of 12 digits after the point, which keeps what
+    published ratios and rates hold. Values of 1e14 or more, and NaN, are left out.
+    """
+    fixed = column.try_cast("decimal(26,12)")
+    return F.try_divide(F.sum(fixed).cast("double"), F.count(fixed).cast("double"))

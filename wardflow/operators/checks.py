@@ -55,17 +55,25 @@ def accepted_values(df: DataFrame, model: str, column: str, values: Sequence[str
 
 
 def relationships(
-    child: DataFrame, model: str, column: str, parent: DataFrame, parent_column: str
+    child: DataFrame,
+    model: str,
+    column: str,
+    parent: DataFrame,
+    parent_column: str,
+    *,
+    weight: str | None = None,
 ) -> DataFrame:
     """Child rows whose key has no parent; NULL keys pass.
 
     Child rows are counted per key first, so a key held by a large share of the
-    rows is one row when it meets the parent table.
+    rows is one row when it meets the parent table. ``weight`` names the column with
+    the number of rows that a row of ``child`` stands for, where it is a summary.
     """
+    rows = F.count("*") if weight is None else F.sum(weight)
     keys = (
         child.where(F.col(column).isNotNull())
         .groupBy(F.col(column).alias("_key"))
-        .agg(F.count("*").alias("n"))
+        .agg(rows.alias("n"))
     )
     orphans = keys.join(
         parent.select(F.col(parent_column).alias("_parent")),

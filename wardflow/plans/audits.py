@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Mapping
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from wardflow.functions import casts
 from wardflow.functions.rules import percent
 from wardflow.plans.staging import HOSPITAL_CASTS, METRIC_CASTS, raw
+from wardflow.sources.readers import Sources, conform_sql
 from wardflow.sources.reference_rows import MEASURE_CODES
+from wardflow.sources.schemas import PROVIDER_DATES
 
 
 def _rows_where(condition: Column) -> Column:
@@ -135,27 +140,72 @@ def audit_ref_integrity(
     )
 
 
-def cast_losses(raw_metrics: DataFrame, raw_hospitals: DataFrame) -> DataFrame:
-    """Texts that are no known sentinel and still became NULL, per column."""
-
-    def losses(df: DataFrame, table: str, targets: dict) -> DataFrame:
-        counts = df.agg(
-            *[
-                F.coalesce(
-                    _rows_where(
-                        raw(name).isNotNull()
-                        & ~raw(name).isin(*sentinels)
-                        & casts.sentinel_cast(raw(name), to, sentinels).isNull()
-                    ),
-                    F.lit(0),
-                ).alias(name)
-                for name, (to, sentinels) in targets.items()
-            ]
-        )
-        return counts.unpivot([], list(targets), "column_name", "lost_values").select(
-            F.lit(table).alias("table_name"), "column_name", "lost_values"
-        )
+def _lost_values(df: DataFrame, table: str, lost: Mapping[str, Column]) -> DataFrame:
+    """Rows (table_name, column_name, lost_values); all columns are counted in one pass."""
+    counts = df.agg(*[F.count_if(condition).alias(name) for name, condition in lost.items()])
+    return counts.unpivot([], list(lost), "column_name", "lost_values").select(
+        F.lit(table).alias("table_name"), "column_name", "lost_values"
+    )
+
+
+def cast_losses(
+    raw_metrics: DataFrame, raw_hospitals: DataFrame, raw_providers: DataFrame | None = None
+) -> DataFrame:
+    """Values that mean something and still become NULL in staging, per column.
+
+    Known "no value" texts and numbers are no losses.
+    """
 
-    return losses(raw_metrics, "raw_hospital_readmissions", METRIC_CASTS).unionByName(
-        losses(raw_hospitals, "raw_admissions", HOSPITAL_CASTS)
+    def texts(targets: dict) -> dict[str, Column]:
+        return {
+            name: raw(name).isNotNull()
+            & ~raw(name).isin(*sentinels)
+            & casts.sentinel_cast(raw(name), to, sentinels).isNull()
+            for name, (to, sentinels) in targets.items()
+        }
+
+    found = _lost_values(raw_metrics, "raw_hospital_readmissions", texts(METRIC_CASTS)).unionByName(
+        _lost_values(raw_hospitals, "raw_admissions", texts(HOSPITAL_CASTS))
     )
+    if raw_providers is None:
+        return found
+    days = {
+        name: raw(name).isNotNull()
+        & ~raw(name).isin(*(casts.OPEN_ENDED_DATES if name == "terminationDate" else ()))
+        & casts.yyyymmdd_to_date(raw(name)).isNull()
+        for name in PROVIDER_DATES
+    }
+    return found.unionByName(_lost_values(raw_providers, "raw_providers", days))
+
+
+def conform_losses(df: DataFrame, table: str, schema: T.StructType) -> DataFrame:
+    """Values that cannot be brought to a contract's type and are NULL after ``conform``.
+
+    Only columns that arrive with another type can lose any; a table without such
+    columns has no rows here.
+    """
+    names = [f.name for f in schema.fields if f.dataType != df.schema[f.name].dataType]
+    if not names:
+        return df.sparkSession.createDataFrame([], "table_name string, column_name string, lost_values long")
+    conformed = {f.name: text for f, text in zip(schema.fields, conform_sql(df.schema, schema))}
+    lost = {name: raw(name).isNotNull() & F.expr(conformed[name].rpartition(" AS ")[0]).isNull() for name in names}
+    return _lost_values(df, table, lost)
+
+
+def all_audits(
+    sources: Sources, table: Callable[[str, str], DataFrame]
+) -> list[DataFrame]:
+    """Every audit over the raw inputs and the models of the last refresh."""
+    enriched = table("intermediate", "int_providers_enriched")
+    return [
+        audit_missing_providers(enriched),
+        audit_missing_admissions(enriched),
+        audit_ccn_format(table("staging", "stg_providers")),
+        audit_ref_integrity(
+            table("marts", "fct_readmissions"), table("marts", "dim_conditions"), table("marts", "dim_providers")
+        ),
+        dq_gate(table("staging", "stg_admissions"), table("staging", "stg_hrrp_metrics")),
+        raw_profile(sources.hospitals),
+        cast_losses(sources.metrics, sources.hospitals, sources.providers),
+        *[conform_losses(df, name, schema) for name, (df, schema) in sources.uploads.items()],
+    ]

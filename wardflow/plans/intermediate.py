@@ -10,12 +10,28 @@ from pyspark.sql import functions as F
 from wardflow.functions.rules import (
     PLANNED_EXCLUSIONS,
     READMISSION_WINDOW_DAYS,
+    exact_avg,
     is_readmission,
 )
 from wardflow.operators.history import ROWS_PER_SLICE, with_previous
 
 CCN_LENGTH = 6
 
+# Provider columns that hospitals and reports on them get.
+PROVIDER_ATTRIBUTES = (
+    "provider_ccn",
+    "state_code",
+    "bed_count",
+    "case_mix_index",
+    "medicaid_ratio",
+    "hrr_adjustment_factor",
+    "vbp_adjustment_factor",
+    "operating_dsh_payment",
+    "fiscal_year_begin_date",
+    "census_division",
+    "interns_to_beds_ratio",
+)
+
 
 def ccn_text(facility_id: Column, padded: bool) -> Column:
     """Facility number as it is compared with a provider's text number.
@@ -33,7 +49,7 @@ def facility_outcomes(metrics: DataFrame) -> DataFrame:
     """One row per facility, averages over the measures that have a ratio."""
     ratio = F.col("excess_readmission_ratio")
     return metrics.groupBy("facility_id").agg(
-        F.avg(ratio).alias("avg_excess_readmission_ratio"),
+        exact_avg(ratio).alias("avg_excess_readmission_ratio"),
         F.sum("number_of_readmissions").alias("total_readmissions"),
         F.sum("number_of_discharges").alias("total_discharges"),
         F.countDistinct(F.when(ratio.isNotNull(), F.col("measure_name"))).alias(

@@ -60,16 +60,9 @@ def readmission_rate_by_condition_state(
 def providers_above_expected(
     providers_dim: DataFrame, providers: DataFrame, *, threshold: float = 1.0, ccn_padded: bool = False
 ) -> DataFrame:
-    """Hospitals whose average excess ratio is above ``threshold``, with attributes.
-
-    The ratio is compared at six digits, below which lies only the noise of
-    adding doubles in a different order.
-    """
+    """Hospitals whose average excess ratio is above ``threshold``, with attributes."""
     extra = providers.select("provider_ccn", "census_division", "interns_to_beds_ratio")
-    ratio = F.round("avg_excess_readmission_ratio", 6)
-    above = providers_dim.withColumn("avg_excess_readmission_ratio", ratio).where(
-        F.col("avg_excess_readmission_ratio") > threshold
-    )
+    above = providers_dim.where(F.col("avg_excess_readmission_ratio") > threshold)
     return above.join(
         extra, ccn_text(F.col("facility_id"), ccn_padded) == F.col("provider_ccn"), "left"
     ).select(

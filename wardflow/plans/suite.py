@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wardflow.functions.rules import PLANNED_TYPE, READMISSION_WINDOW_DAYS
@@ -140,15 +140,42 @@ def window_test(fact: DataFrame) -> DataFrame:
     return checks.row_conditions(fact, {"fct_readmissions_flags_within_30_days": _beyond_window()})
 
 
-def _fact_rows(fact: DataFrame) -> DataFrame:
-    """All tests on single rows of the fact table, in one pass over it."""
+def row_tests(model: str) -> dict[str, Column]:
+    """Tests of a model that look at single rows: when a row violates each."""
     conditions = {
-        f"not_null_fct_readmissions_{name}": F.col(name).isNull()
-        for name in NOT_NULL_COLUMNS["fct_readmissions"]
+        f"not_null_{model}_{name}": F.col(name).isNull() for name in NOT_NULL_COLUMNS.get(model, ())
     }
-    conditions["fct_readmissions_no_planned_cancer_flagged"] = _planned_cancer()
-    conditions["fct_readmissions_flags_within_30_days"] = _beyond_window()
-    return checks.row_conditions(fact, conditions)
+    if model == "fct_readmissions":
+        conditions["fct_readmissions_no_planned_cancer_flagged"] = _planned_cancer()
+        conditions["fct_readmissions_flags_within_30_days"] = _beyond_window()
+    return conditions
+
+
+def fact_summary(fact: DataFrame) -> DataFrame:
+    """Admissions and violations of each row test per facility and measure.
+
+    Sums of sums, so summaries of parts of the fact can be added up. All row tests of the
+    fact and both relationships follow from it; it has six rows or so per facility.
+    """
+    counts = [F.count_if(broken).alias(name) for name, broken in row_tests("fct_readmissions").items()]
+    return fact.groupBy(*RELATIONSHIPS).agg(F.count("*").alias("admissions"), *counts)
+
+
+def fact_row_tests(summary: DataFrame) -> DataFrame:
+    names = list(row_tests("fct_readmissions"))
+    counts = summary.agg(*[F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in names])
+    return counts.unpivot([], names, "check", "violations")
+
+
+def fact_relationships(summary: DataFrame, models: Models) -> DataFrame:
+    return checks.all_of(
+        [
+            checks.relationships(
+                summary, "fct_readmissions", column, getattr(models, parent), key, weight="admissions"
+            )
+            for column, (parent, key) in RELATIONSHIPS.items()
+        ]
+    )
 
 
 def with_status(results: DataFrame) -> DataFrame:
@@ -162,32 +189,38 @@ def with_status(results: DataFrame) -> DataFrame:
     )
 
 
+def staging_set_tests(models: Models) -> DataFrame:
+    """Tests of staging that compare rows with each other or with a list."""
+    return checks.all_of(
+        [
+            unique_tests(models, STAGING_MODELS),
+            accepted_values_tests(models),
+            unique_combination_tests(models),
+        ]
+    )
+
+
 def staging_suite(models: Models) -> DataFrame:
     return with_status(
-        checks.all_of(
-            [
-                not_null_tests(models, STAGING_MODELS),
-                unique_tests(models, STAGING_MODELS),
-                accepted_values_tests(models),
-                unique_combination_tests(models),
-            ]
-        )
+        not_null_tests(models, STAGING_MODELS).unionByName(staging_set_tests(models))
     )
 
 
-def marts_suite(models: Models) -> DataFrame:
+def marts_suite(models: Models, summary: DataFrame | None = None) -> DataFrame:
+    """``summary``: the fact's summary, where it is written already; it is read three times."""
+    summary = fact_summary(models.fct_readmissions) if summary is None else summary
     return with_status(
         checks.all_of(
             [
                 not_null_tests(models, ("dim_providers", "dim_conditions")),
-                _fact_rows(models.fct_readmissions),
+                fact_row_tests(summary),
                 unique_tests(models, MART_MODELS),
-                relationships_tests(models),
+                fact_relationships(summary, models),
             ]
         )
     )
 
 
-def dq_suite(models: Models) -> DataFrame:
+def dq_suite(models: Models, summary: DataFrame | None = None) -> DataFrame:
     """All 27 tests: check, severity, violations, status."""
-    return staging_suite(models).unionByName(marts_suite(models))
+    return staging_suite(models).unionByName(marts_suite(models, summary))

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from wardflow.functions.casts import sql_value
 from wardflow.sources.schemas import PROVIDER_TYPES
 
 # Provider type codes (text: leading zeros count).
@@ -68,5 +69,11 @@ def provider_type_codes(spark: SparkSession) -> DataFrame:
     return _local_table(spark, PROVIDER_TYPE_ROWS, PROVIDER_TYPES)
 
 
+def provider_type_values() -> str:
+    """The same as a SQL subquery."""
+    rows = ", ".join(f"({', '.join(map(sql_value, row))})" for row in PROVIDER_TYPE_ROWS)
+    return f"(SELECT * FROM VALUES {rows} AS t({', '.join(PROVIDER_TYPES.names)}))"
+
+
 def condition_rows(spark: SparkSession) -> DataFrame:
     return _local_table(spark, CONDITION_ROWS, CONDITIONS)

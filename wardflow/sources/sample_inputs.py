@@ -89,6 +89,21 @@ def admission_events(orders: DataFrame, supplier: DataFrame) -> DataFrame:
     )
 
 
+def uploaded_events(events: DataFrame) -> DataFrame:
+    """The admissions as an upload of texts, in which some dates and numbers cannot be read."""
+    key = "CAST(admission_id AS BIGINT)"
+    texts = {name: f"CAST({name} AS STRING)" for name in events.columns}
+    texts |= {
+        "facility_id": f"CASE WHEN {key} % 19 = 0 THEN concat('F', facility_id) ELSE CAST(facility_id AS STRING) END",
+        "admission_date": f"""CASE WHEN {key} % 17 = 0 THEN 'pending'
+            WHEN {key} % 13 = 0 THEN date_format(admission_date, 'MM/dd/yyyy')
+            ELSE CAST(admission_date AS STRING) END""",
+        "discharge_date": f"CASE WHEN {key} % 29 <> 0 THEN CAST(discharge_date AS STRING) END",
+        "length_of_stay": f"CASE WHEN {key} % 23 = 0 THEN concat(length_of_stay, ' days') ELSE CAST(length_of_stay AS STRING) END",
+    }
+    return _select(events, texts)
+
+
 def raw_hospital_readmissions(lineitem: DataFrame) -> DataFrame:
     """One row per supplier and measure, which the line number stands for."""
     grouped = lineitem.groupBy(
@@ -246,6 +261,10 @@ class SampleInputs:
     def events(self) -> DataFrame:
         return admission_events(self.table("orders"), self.table("supplier"))
 
+    @cached_property
+    def uploaded_events(self) -> DataFrame:
+        return uploaded_events(self.events)
+
     @cached_property
     def provider_types(self) -> DataFrame:
         return provider_type_codes(self.spark)
