@@ -3,11 +3,14 @@
 No task could hold the suffix array of all texts, so texts are cut where equal strings are
 cut alike: a window of ``length`` bytes is labelled by the least hash of the ``GRAM``-byte
 strings in it, and consecutive windows of one label form a piece. Equal windows have equal
-labels, so the suffix array of each label's pieces finds all of them. Only pieces whose
-label occurs in several documents are cut out and sent to their label.
-
-What very many documents share does not pile up at one label: of equal pieces in a batch of
-documents only the one with the least id is sent, as the others are covered by it as a whole.
+labels, so the suffix array of each label's pieces finds all of them.
+
+Labels go out first, with the id and a hash of the piece. A label that one document has needs
+nothing more. Where all pieces of a label are equal (they agree in 128 bits of hashes), those of
+larger ids are covered as a whole; there would be nothing to sort. Only the pieces of the other
+labels, at the ends of what documents share, are cut out and sent to their label's suffix array.
+What very many documents share does not pile up there: of equal pieces in a batch of
+documents only the one with the least id is sent, as it covers the others.
 """
 
 from __future__ import annotations
@@ -71,12 +74,22 @@ def remove_earlier_strings(docs: DataFrame, *, length: int = LENGTH, label_piece
 
 def removed_spans(docs: DataFrame, length: int, label_pieces: int) -> DataFrame:
     """Rows (id, version, spans): for documents that lose bytes, spans that cover them (they may overlap)."""
-    seen = docs.mapInArrow(_labels(length), "label long, id long, known boolean")
-    # Rows of labels that are known to be shared are spread by their ids.
-    same = Window.partitionBy("label", F.when(F.col("known"), F.col("id")))
-    shared = seen.select("*", F.min("id").over(same).alias("least"), F.max("id").over(same).alias("most")).where("known OR least < most")
-    labels = materialize(shared.groupBy("id").agg(F.collect_set("label").alias("labels")), "shared_labels")
-    cut = docs.join(labels, "id").select("id", "version", "text", "labels").mapInArrow(_pieces(length), f"{PIECES}, spans {SPANS}")
+    seen = docs.mapInArrow(_labels(length), "label long, id long, name long, kind int")
+    # What is known of a row already does not need its label's other rows: such rows are spread by their ids.
+    plain = F.col("kind") == PLAIN
+    same = Window.partitionBy("label", F.when(~plain, F.col("id")))
+    ranges = {end: f(column).over(same) for end, f, column in (("least", F.min, "id"), ("most", F.max, "id"), ("name1", F.min, "name"), ("name2", F.max, "name"))}
+    differ, later = F.col("name1") != F.col("name2"), F.col("least") < F.col("id")
+    shared = seen.select("label", "id", "kind", *[column.alias(end) for end, column in ranges.items()]).where(
+        ~plain | ((F.col("least") < F.col("most")) & (differ | later))
+    )
+    kind = F.when(plain, F.when(differ, OPEN).otherwise(COVERED)).otherwise(F.col("kind"))
+    shared = shared.select("id", "label", kind.alias("kind"))
+    labels = shared.groupBy("id").agg(
+        *[F.collect_set(F.when(F.col("kind") == k, F.col("label"))).alias(name) for name, k in (("covered", COVERED), ("open", OPEN))]
+    )
+    labels = materialize(labels, "shared_labels")
+    cut = docs.join(labels, "id").select("id", "version", "text", "covered", "open").mapInArrow(_pieces(length), f"{PIECES}, spans {SPANS}")
     cut = materialize(cut, "pieces")
     spans = [cut.where("piece IS NULL").select("id", "version", "spans")]
     pieces = cut.where("piece IS NOT NULL").drop("spans")
@@ -99,12 +112,15 @@ def removed_spans(docs: DataFrame, length: int, label_pieces: int) -> DataFrame:
     return materialize(every, "spans").groupBy("id", "version").agg(F.flatten(F.collect_list("spans")).alias("spans"))
 
 
+#: Of the label of a document: undecided, its piece is equal to one of a smaller id, or must be compared.
+PLAIN, COVERED, OPEN = range(3)
+
 #: A piece of a document and the places where it begins there.
 PIECES = "label long, id long, version long, starts array<int>, piece binary"
 
 
-def _runs(texts: pa.Array, length: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """(text, start, windows, label) of the pieces of all texts, some texts or one block at a time."""
+def _runs(texts: pa.Array, length: int) -> Iterator[tuple[np.ndarray, ...]]:
+    """(text, start, windows, label, hash) of the pieces of all texts, some texts or one block at a time."""
     if texts.null_count:
         texts = texts.fill_null("")
     texts = texts.cast(pa.large_string())
@@ -119,8 +135,8 @@ def _runs(texts: pa.Array, length: int) -> Iterator[tuple[np.ndarray, np.ndarray
         for at in range(begin, max(begin + 1, end - length + 1), RUN_BYTES):
             stop = end if j > i + 1 else min(end, at + RUN_BYTES + length - 1)
             bounds = np.array([0, stop - at]) if j == i + 1 else offsets[i : j + 1] - begin
-            owner, start, n, label = _label(data[at:stop], bounds, length)
-            yield owner + i, start + (at - begin if j == i + 1 else 0), n, label
+            owner, start, n, label, name = _label(data[at:stop], bounds, length)
+            yield owner + i, start + (at - begin if j == i + 1 else 0), n, label, name
             if j > i + 1:
                 break
         i = j
@@ -141,10 +157,10 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _label(data: np.ndarray, bounds: np.ndarray, length: int):
-    """(text, start, windows, label) of the pieces of texts laid end to end."""
+    """(text, start, windows, label, hash) of the pieces of texts laid end to end."""
     n = len(data) - length + 1
     if n <= 0:
-        return (np.empty(0, np.int64),) * 4
+        return (np.empty(0, np.int64),) * 5
     up, down = _powers(max(len(data), RUN_BYTES + LENGTH))
     total = np.zeros(len(data) + 1, np.uint64)
     np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[: len(data)], out=total[1:])
@@ -165,7 +181,9 @@ def _label(data: np.ndarray, bounds: np.ndarray, length: int):
     since = np.arange(len(whole)) - np.repeat(first, np.diff(np.append(first, len(whole))))
     first = np.flatnonzero(since % PIECE == 0)
     sizes = np.diff(np.append(first, len(whole)))
-    return owner[first], whole[first] - bounds[owner[first]], sizes, least[first]
+    begin = whole[first]
+    name = words.mixed((total[begin + sizes + length - 1] - total[begin]) * down[begin] + sizes.astype(np.uint64))
+    return owner[first], begin - bounds[owner[first]], sizes, least[first], name.view(np.int64)
 
 
 def _send(names: list[str], columns: list, size: int = 100_000) -> Iterator[pa.RecordBatch]:
@@ -174,26 +192,39 @@ def _send(names: list[str], columns: list, size: int = 100_000) -> Iterator[pa.R
 
 
 def _labels(length: int):
-    """Rows (label, id, known) of the labels of each text.
+    """Rows (label, id, name, kind): labels of each text and hashes of its pieces.
 
-    A label that several ids of a run have is known to be shared: its rows say so, and the least
-    and the largest of the ids go out once more, unmarked, for others to see.
+    Within a run, equal pieces of larger ids are known to be covered. Where a label has
+    different pieces of several ids, they must be compared; then the least and the largest
+    of its ids and names go out once more as plain rows, for others to see.
     """
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = np.asarray(batch.column("id"))
-            for owner, _, _, label in _runs(batch.column("text"), length):
-                order = np.lexsort((ids[owner], label))
-                label, of = label[order], ids[owner][order]
-                once = np.append(True, (label[1:] != label[:-1]) | (of[1:] != of[:-1]))[: len(label)]
-                label, of = label[once], of[once]
-                first = np.append(True, label[1:] != label[:-1])[: len(label)]
-                last = np.append(first[1:], True)[: len(label)]
-                known = ~(first & last)
-                edge = known & (first | last)
-                for some, mark in ((slice(None), known), (edge, np.zeros(int(edge.sum()), bool))):
-                    yield from _send(["label", "id", "known"], [label[some], of[some], mark])
+            for owner, _, _, label, name in _runs(batch.column("text"), length):
+                if not len(label):
+                    continue
+                of = ids[owner]
+                order = np.lexsort((of, name, label))
+                label, of, name = label[order], of[order], name[order]
+                new_label = np.append(True, label[1:] != label[:-1])
+                new_name = new_label | np.append(True, name[1:] != name[:-1])
+                once = new_name | np.append(True, of[1:] != of[:-1])
+                head, names = np.flatnonzero(new_label), np.flatnonzero(new_name)
+                least, most = np.minimum.reduceat(of, head), np.maximum.reduceat(of, head)
+                several = (np.add.reduceat(new_name.astype(np.int64), head) > 1) & (least < most)
+                sizes = np.diff(np.append(head, len(label)))
+                kind = np.where(np.repeat(several, sizes), OPEN, PLAIN)
+                kind[of > np.repeat(of[names], np.diff(np.append(names, len(label))))] = COVERED
+                tail = head + sizes - 1
+                columns = [
+                    np.concatenate([label[once], label[head][several], label[head][several]]),
+                    np.concatenate([of[once], least[several], most[several]]),
+                    np.concatenate([name[once], name[head][several], name[tail][several]]),
+                    np.concatenate([kind[once], np.full(2 * int(several.sum()), PLAIN)]).astype(np.int32),
+                ]
+                yield from _send(["label", "id", "name", "kind"], columns)
 
     return rows
 
@@ -207,6 +238,17 @@ class _Pieces:
         self.version: list[int] = []
         self.starts: list[list[int]] = []
         self.piece: list[bytes] = []
+        self.gone: dict[tuple, list] = {}
+
+    def cover(self, owner: np.ndarray, begin: np.ndarray, end: np.ndarray, ids: list, versions: list) -> None:
+        """Spans (begin, end) of texts, in order; those that meet become one."""
+        if not len(owner):
+            return
+        apart = np.append(True, (owner[1:] != owner[:-1]) | (begin[1:] > end[:-1]))
+        head = np.flatnonzero(apart)
+        last = np.append(head[1:], len(owner)) - 1
+        for o, b, e in zip(owner[head].tolist(), begin[head].tolist(), end[last].tolist(), strict=True):
+            self.gone.setdefault((ids[o], versions[o]), []).append([b, e])
 
     def add(self, label: int, id_: int, version: int, starts: list[int], piece: bytes) -> None:
         self.label.append(label)
@@ -221,8 +263,7 @@ class _Pieces:
             if i < least.get(piece, i + 1):
                 least[piece] = i
         sent: dict[tuple, int] = {}
-        gone: dict[tuple, list] = {}
-        places = {}
+        gone, places = self.gone, {}
         for row, (i, version, starts, piece) in enumerate(zip(self.id, self.version, self.starts, self.piece, strict=True)):
             if i > least[piece]:
                 spans = gone.setdefault((i, version), [])
@@ -255,21 +296,27 @@ class _Pieces:
 
 
 def _pieces(length: int):
-    """Pieces of each text whose label is among its ``labels``."""
+    """Of each text the pieces whose label is ``open``, and spans of those whose label is ``covered``."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, versions = batch.column("id").to_pylist(), batch.column("version").to_pylist()
-            lists, texts = batch.column("labels"), batch.column("text")
-            sizes = np.diff(np.asarray(lists.offsets))
-            wanted = _pair(np.repeat(np.arange(len(sizes)), sizes), np.asarray(lists.flatten()))
-            found, data, open_text = _Pieces(), b"", -1
-            for owner, start, n, label in _runs(texts, length):
-                # A pair that is taken for another by its hash is one piece too many, no more.
-                some = np.flatnonzero(np.isin(_pair(owner, label), wanted))
+            texts, wanted = batch.column("text"), {}
+            for kind in ("covered", "open"):
+                lists = batch.column(kind)
+                sizes = np.diff(np.asarray(lists.offsets))
+                wanted[kind] = _pair(np.repeat(np.arange(len(sizes)), sizes), np.asarray(lists.flatten()))
+            found, data, at = _Pieces(), b"", -1
+            for owner, start, n, label, _ in _runs(texts, length):
+                pairs = _pair(owner, label)
+                # A text may have different pieces of a label; then they are compared.
+                compared = np.isin(pairs, wanted["open"])
+                whole = np.isin(pairs, wanted["covered"]) & ~compared
+                found.cover(owner[whole], start[whole], (start + n + length - 1)[whole], ids, versions)
+                some = np.flatnonzero(compared)
                 for o, s, k, mark in zip(owner[some].tolist(), start[some].tolist(), n[some].tolist(), label[some].tolist(), strict=True):
-                    if o != open_text:
-                        data, open_text = texts[o].as_py().encode(), o
+                    if o != at:
+                        data, at = texts[o].as_py().encode(), o
                     found.add(mark, ids[o], versions[o], [s], data[s : s + k + length - 1])
             yield from found.batches()
 
@@ -277,6 +324,7 @@ def _pieces(length: int):
 
 
 def _pair(owner: np.ndarray, label: np.ndarray) -> np.ndarray:
+    """64 bits for a text of the batch and one of its labels; label and piece add 128 more."""
     return words.mixed(words.mixed(label.view(np.uint64)) + owner.astype(np.uint64))
 
 
