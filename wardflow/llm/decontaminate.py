@@ -130,10 +130,10 @@ def contamination(
     answer, repeated items count once, an empty table of either side gives clean documents.
     Columns of the result's names are replaced, others stay.
     """
-    own = ("n_words", "n_hit", "item_ids", "spans", "near_ids", "contaminated")
+    new = ("n_words", "n_hit", "item_ids", "spans", "near_ids", "contaminated")
     id_type = dict(items.dtypes)["item_id"]
-    keep = [c for c in docs.columns if c not in own]
-    worded = docs.select(F.xxhash64("doc_id", "text").alias("row_key"), words_of(F.col("text")).alias("words"))
+    row_key = F.xxhash64("doc_id", "text").alias("row_key")
+    worded = docs.select(row_key, words_of(F.col("text")).alias("words"))
     items = materialize(item_words(items), "benchmark_items")
     # Written tables have a known size: Spark broadcasts them if they are small, and
     # otherwise shuffles the words of the documents to them, which is the index at large.
@@ -141,20 +141,46 @@ def contamination(
     counts = materialize(word_counts(worded, vocabulary), "word_counts")
     terms = materialize(index_terms(items, counts, window), "index_terms")
     index = materialize(postings(worded, terms), "postings")
-    found = aligned(index, items).join(items, "item_key").groupBy("row_key").agg(
-        F.collect_list(F.struct("item_id", "begin", "words")).alias("_found")
+    begins = aligned(index, items).join(items, "item_key").groupBy("row_key").agg(
+        F.collect_list(F.struct("item_id", "begin", "words")).alias("begins")
     )
+    hits = materialize(verified_hits(worded, begins, window, id_type), "hits")
     close = (
         near_matches(index, terms, near).join(items.select("item_key", "item_id"), "item_key")
-        .groupBy("row_key").agg(F.array_sort(F.collect_set(F.col("item_id").cast("string"))).alias("_near"))
+        .groupBy("row_key").agg(F.array_sort(F.collect_set(F.col("item_id").cast("string"))).alias("near_ids"))
     )
+    # The caller's columns travel as one, so none can clash with those of the operator. What a
+    # filter on the result reads are columns of the small tables, never the words of a text.
+    own = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c not in new]).alias("own")
+    found = docs.select(own, row_key).join(hits, "row_key", "left").join(close, "row_key", "left")
+    n_hit = F.coalesce("n_hit", F.lit(0)).cast("long")
+    none = {"item_ids": "array<string>", "spans": span_type(id_type), "near_ids": "array<string>"}
+    lists = {name: F.coalesce(name, F.array().cast(kind)).alias(name) for name, kind in none.items()}
+    return found.select(
+        "own.*",
+        F.size(words_of(F.col("own.text"))).cast("long").alias("n_words"),
+        n_hit.alias("n_hit"),
+        *lists.values(),
+        ((n_hit > 0) & (n_hit * share >= F.col("n_all"))).alias("contaminated"),
+    ).withColumn("contaminated", F.coalesce("contaminated", F.lit(False)))
+
+
+def span_type(id_type: str) -> str:
+    return f"array<struct<item_id:{id_type},begin:int,end:int>>"
+
+
+def verified_hits(worded: DataFrame, begins: DataFrame, window: int, id_type: str) -> DataFrame:
+    """Rows (row_key, n_all, n_hit, spans, item_ids) for documents in which windows occur.
+
+    ``begins`` lists where items may begin; their words are compared with the document's.
+    """
 
     def occurrences(x: Column) -> Column:
-        """Starts (in the item) of the windows that stand in the document."""
+        """Windows of an item that stand in the document."""
         n = F.size(x["words"])
         width = F.least(n, F.lit(window))
         same = F.transform(
-            x["words"], lambda w, k: F.coalesce(F.get(F.col("_words"), x["begin"] + k) == w, F.lit(False))
+            x["words"], lambda w, k: F.coalesce(F.get(F.col("words"), x["begin"] + k) == w, F.lit(False))
         )
         starts = F.filter(
             F.sequence(F.lit(0), n - width), lambda s: ~F.array_contains(F.slice(same, s + 1, width), False)
@@ -166,17 +192,10 @@ def contamination(
             ),
         )
 
-    nothing = F.array().cast("array<string>")
-    spans = F.flatten(F.transform(F.coalesce("_found", F.array().cast(f"array<struct<item_id:{id_type},begin:int,words:array<string>>>")), occurrences))
+    spans = worded.join(begins, "row_key").select(
+        "row_key", F.size("words").alias("n_all"), F.flatten(F.transform("begins", occurrences)).alias("spans")
+    )
+    spans = materialize(spans.dropDuplicates(["row_key"]), "occurrences").where(F.size("spans") > 0)
     hit = F.size(F.array_distinct(F.flatten(F.transform("spans", lambda s: F.sequence(s["begin"], s["end"] - 1)))))
     ids = F.array_sort(F.array_distinct(F.filter(F.transform("spans", lambda s: s["item_id"].cast("string")), lambda i: i.isNotNull())))
-    return (
-        docs.select(*keep, F.xxhash64("doc_id", "text").alias("row_key"))
-        .join(found, "row_key", "left").join(close, "row_key", "left")
-        .withColumn("_words", words_of(F.col("text")))
-        .select(*keep, F.size("_words").cast("long").alias("n_words"), spans.alias("spans"), F.coalesce("_near", nothing).alias("near_ids"))
-        .withColumn("n_hit", hit.cast("long"))
-        .withColumn("item_ids", ids)
-        .withColumn("contaminated", (F.col("n_hit") > 0) & (F.col("n_hit") * share >= F.col("n_words")))
-        .select(*keep, *own)
-    )
+    return spans.select("row_key", "n_all", hit.alias("n_hit"), "spans", ids.alias("item_ids"))

@@ -78,11 +78,27 @@ WITH docs AS (
 ), listed AS (
   SELECT rid, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids
   FROM (SELECT DISTINCT rid, item_id::VARCHAR AS item FROM hits WHERE item_id IS NOT NULL) GROUP BY rid
+), places_of AS (
+  SELECT rid, unnest(w) AS word, generate_subscripts(w, 1) AS spot FROM docs
+), rare AS (
+  SELECT item_id, w, word FROM (SELECT DISTINCT item_id, w, unnest(w) AS word FROM items WHERE len(w) > 0)
+  JOIN (SELECT word, count(*) AS n FROM places_of GROUP BY word) USING (word)
+  QUALIFY row_number() OVER (PARTITION BY item_id, w ORDER BY n, word) <= 3
+), close AS (
+  SELECT rid, item_id, w, count(DISTINCT r.word) OVER (PARTITION BY rid, item_id, w ORDER BY spot
+           RANGE BETWEEN CURRENT ROW AND 25 FOLLOWING) AS seen
+  FROM places_of p JOIN rare r ON p.word = r.word
+), near AS (
+  SELECT rid, count(DISTINCT c.item_id::VARCHAR) AS n_near
+  FROM close c JOIN (SELECT item_id, w, count(*) AS wanted FROM rare GROUP BY item_id, w HAVING count(*) > 1) t
+    ON c.item_id IS NOT DISTINCT FROM t.item_id AND c.w = t.w AND c.seen = t.wanted
+  GROUP BY rid
 )
 SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(c.n_hit, 0)::BIGINT AS n_hit,
        coalesce(l.n_items, 0)::BIGINT AS n_items, sha256(coalesce(l.ids, '')) AS items_sha256,
-       coalesce(c.n_hit, 0) > 0 AND 20 * coalesce(c.n_hit, 0) >= len(d.w) AS contaminated
-FROM docs d LEFT JOIN counted c USING (rid) LEFT JOIN listed l USING (rid)
+       coalesce(c.n_hit, 0) > 0 AND 20 * coalesce(c.n_hit, 0) >= len(d.w) AS contaminated,
+       coalesce(n.n_near, 0)::BIGINT AS n_near
+FROM docs d LEFT JOIN counted c USING (rid) LEFT JOIN listed l USING (rid) LEFT JOIN near n USING (rid)
 """
 
 # White space, least words of a line to be compared, and with one edit.

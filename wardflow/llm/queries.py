@@ -103,6 +103,7 @@ def op6_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
         F.size("item_ids").cast("long").alias("n_items"),
         F.sha2(F.array_join("item_ids", ",").cast("binary"), 256).alias("items_sha256"),
         "contaminated",
+        F.size("near_ids").cast("long").alias("n_near"),
     )
 
 

@@ -34,7 +34,7 @@ GRAM = 20
 #: Windows of a piece at most; longer runs of a label (repetitive text) are cut.
 PIECE = 64
 #: Pieces of a label at most that go to one suffix array whole.
-LABEL_PIECES = 512
+LABEL_PIECES = 64
 #: Bytes of pieces that a task sorts at a time, and of texts that it labels at a time.
 SORT_BYTES, RUN_BYTES = 1 << 21, 1 << 20
 
@@ -94,16 +94,18 @@ def removed_spans(docs: DataFrame, length: int, label_pieces: int) -> DataFrame:
     spans = [cut.where("piece IS NULL").select("id", "version", "spans")]
     pieces = cut.where("piece IS NOT NULL").drop("spans")
     counts = pieces.groupBy("label").agg(F.count("*").alias("pieces"))
-    crowded = materialize(counts.where(F.col("pieces") > label_pieces), "crowded_labels")
+    crowded = materialize(counts.where(F.col("pieces") > label_pieces).select("label"), "crowded_labels")
     if not crowded.isEmpty():
-        # Pieces of a label that very many have are cut into windows, dealt out by their hash.
-        shares = F.greatest(F.lit(1), F.expr(f"pieces * {PIECE // 2} div {int(label_pieces)}"))
-        many = pieces.join(crowded, "label").mapInArrow(_windows(length), f"{PIECES}, pieces long, spans {SPANS}")
-        many = materialize(many, "windows")
-        spans.append(many.where("piece IS NULL").select("id", "version", "spans"))
-        label = F.xxhash64("label", F.pmod(F.xxhash64("piece"), shares)).alias("label")
-        single = many.where("piece IS NOT NULL").select(label, *[c for c in pieces.columns if c != "label"])
-        pieces = pieces.join(crowded, "label", "left_anti").unionByName(single)
+        # A task must not sort all that meets at the end of a very common passage. There
+        # the windows themselves are dealt out, known by 128 bits of hashes.
+        windows = pieces.join(crowded, "label", "left_semi").mapInArrow(
+            _windows(length), "w1 long, w2 long, id long, version long, start int, covered boolean"
+        )
+        pieces = pieces.join(crowded, "label", "left_anti")
+        alike = Window.partitionBy("w1", "w2", F.when(F.col("covered"), F.col("id")))
+        later = windows.withColumn("least", F.min("id").over(alike)).where("covered OR least < id")
+        span = F.struct(F.col("start").alias("begin"), (F.col("start") + length).alias("end"))
+        spans.append(later.groupBy("id", "version").agg(F.collect_list(span).alias("spans")))
     dealt = pieces.repartition("label").sortWithinPartitions("label")
     spans.append(dealt.mapInArrow(_covered(length), f"id long, version long, spans {SPANS}"))
     every = spans[0]
@@ -142,14 +144,15 @@ def _runs(texts: pa.Array, length: int) -> Iterator[tuple[np.ndarray, ...]]:
         i = j
 
 
-_BASE = 0x9E3779B97F4A7C15
+# Odd numbers, which have inverses modulo 2**64.
+_BASE, _OTHER_BASE = 0x9E3779B97F4A7C15, 0xD1B54A32D192ED03
 
 
-@lru_cache(maxsize=2)
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+@lru_cache(maxsize=4)
+def _powers(n: int, of: int = _BASE) -> tuple[np.ndarray, np.ndarray]:
     """The first n powers of the base, and of its inverse, modulo 2**64."""
     both = []
-    for base in (_BASE, pow(_BASE, -1, 1 << 64)):
+    for base in (of, pow(of, -1, 1 << 64)):
         factors = np.full(n, base, np.uint64)
         factors[0] = 1
         both.append(np.multiply.accumulate(factors))
@@ -257,12 +260,12 @@ class _Pieces:
         self.starts.append(starts)
         self.piece.append(piece)
 
-    def batches(self, extra: dict[str, list] | None = None) -> Iterator[pa.RecordBatch]:
+    def batches(self) -> Iterator[pa.RecordBatch]:
         least: dict[bytes, int] = {}
         for piece, i in zip(self.piece, self.id, strict=True):
             if i < least.get(piece, i + 1):
                 least[piece] = i
-        sent: dict[tuple, int] = {}
+        first_of: dict[tuple, int] = {}
         gone, places = self.gone, {}
         for row, (i, version, starts, piece) in enumerate(zip(self.id, self.version, self.starts, self.piece, strict=True)):
             if i > least[piece]:
@@ -273,23 +276,20 @@ class _Pieces:
                     else:
                         spans.append([start, start + len(piece)])
             else:
-                first = sent.setdefault((i, version, piece), row)
+                first = first_of.setdefault((i, version, piece), row)
                 places.setdefault(first, []).extend(starts)
         rows = list(places)
-        yield from self._send(
-            [[self.label[r] for r in rows], [self.id[r] for r in rows], [self.version[r] for r in rows], list(places.values()),
-             [self.piece[r] for r in rows], *([column[r] for r in rows] for column in (extra or {}).values()), [None] * len(rows)],
-            extra,
-        )
+        sent = [[column[r] for r in rows] for column in (self.label, self.id, self.version)]
+        yield from self._send([*sent, list(places.values()), [self.piece[r] for r in rows], [None] * len(rows)])
         keys, none = list(gone), [None] * len(gone)
         spans = [[{"begin": b, "end": e} for b, e in gone[k]] for k in keys]
-        yield from self._send([none, [k[0] for k in keys], [k[1] for k in keys], none, none, *(none for _ in extra or {}), spans], extra)
+        yield from self._send([none, [k[0] for k in keys], [k[1] for k in keys], none, none, spans])
 
     @staticmethod
-    def _send(columns: list[list], extra) -> Iterator[pa.RecordBatch]:
+    def _send(columns: list[list]) -> Iterator[pa.RecordBatch]:
         span = pa.list_(pa.struct([("begin", pa.int32()), ("end", pa.int32())]))
-        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.binary(), *[pa.int64()] * len(extra or {}), span]
-        names = ["label", "id", "version", "starts", "piece", *(extra or {}), "spans"]
+        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.binary(), span]
+        names = ["label", "id", "version", "starts", "piece", "spans"]
         for at in range(0, len(columns[1]), 20_000):
             arrays = [pa.array(c[at : at + 20_000], kind) for c, kind in zip(columns, kinds, strict=True)]
             yield pa.RecordBatch.from_arrays(arrays, names=names)
@@ -329,22 +329,42 @@ def _pair(owner: np.ndarray, label: np.ndarray) -> np.ndarray:
 
 
 def _windows(length: int):
-    """The windows of pieces as pieces of their own."""
+    """The windows of pieces by their hashes; ``covered`` where a smaller id of the batch has the same."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found, counts = _Pieces(), []
-            for label, i, version, starts, piece, count in zip(
-                *[batch.column(c).to_pylist() for c in ("label", "id", "version", "starts", "piece", "pieces")], strict=True
-            ):
-                for at in range(len(piece) - length + 1):
-                    found.add(label, i, version, [s + at for s in starts], piece[at : at + length])
-                    counts.append(count)
-            yield from found.batches({"pieces": counts})
+            pieces, lists = batch.column("piece").to_pylist(), batch.column("starts")
+            offsets = np.append(0, np.cumsum(np.fromiter(map(len, pieces), np.int64, len(pieces))))
+            data = np.frombuffer(b"".join(pieces), np.uint8)
+            n, places = np.diff(offsets) - length + 1, np.diff(np.asarray(lists.offsets))
+            # Every window of every place at which a piece begins.
+            row = np.repeat(np.arange(len(n)), places)
+            at = _counting(n[row])
+            begin = np.repeat(np.asarray(lists.flatten()), n[row]) + at
+            row = np.repeat(row, n[row])
+            first = offsets[row] + at
+            hashes = []
+            for base in (_BASE, _OTHER_BASE):
+                up, down = _powers(max(len(data) + 1, RUN_BYTES + LENGTH), base)
+                total = np.zeros(len(data) + 1, np.uint64)
+                np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[: len(data)], out=total[1:])
+                hashes.append(words.mixed((total[first + length] - total[first]) * down[first]).view(np.int64))
+            ids, versions = np.asarray(batch.column("id"))[row], np.asarray(batch.column("version"))[row]
+            order = np.lexsort((ids, hashes[1], hashes[0]))
+            w1, w2, ids, versions, begin = (x[order] for x in (*hashes, ids, versions, begin))
+            new = np.append(True, (w1[1:] != w1[:-1]) | (w2[1:] != w2[:-1]))[: len(w1)]
+            covered = ids > ids[np.maximum.accumulate(np.where(new, np.arange(len(w1)), 0))]
+            yield from _send(["w1", "w2", "id", "version", "start", "covered"], [w1, w2, ids, versions, begin.astype(np.int32), covered])
 
     return rows
 
 
+def _counting(counts: np.ndarray) -> np.ndarray:
+    """0, 1, .. up to each count, one after the other."""
+    ends = np.cumsum(counts)
+    return np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - counts, counts)
+
+
 def _covered(length: int):
     """Spans of pieces that have windows of smaller ids.
 
