@@ -2,9 +2,11 @@
 
 import hashlib
 import itertools
+import random
 import re
 
 import pytest
+from wardflow.llm import jaccard_join
 from wardflow.llm import queries as registered
 
 WORD = re.compile("[^\x20\x09-\x0d]+")
@@ -69,3 +71,42 @@ def test_repeated_windows_are_cut(spark, sf_dir):
         want[i] = (len(w), len(gone), hashlib.sha256(kept.encode()).hexdigest())
     got = result(spark, sf_dir, "op10_")
     assert {i: (r.n_words, r.n_removed, r.kept_sha256) for i, r in got.items()} == want
+
+
+def families(seed):
+    """Edited copies of some texts, in chains and of copies, that all quote one passage."""
+    pick = random.Random(seed)
+    passage = [f"p{i}" for i in range(30)]
+
+    def edited(w, most):
+        w = list(w)
+        for _ in range(pick.randrange(most)):
+            at = pick.randrange(len(w))
+            w[at : at + pick.randrange(2)] = [f"e{pick.randrange(10_000)}"]
+        return w
+
+    rows = []
+    for family in range(3):
+        base = [f"f{family}w{i}" for i in range(150)]
+        known = [base]
+        for _ in range(45):
+            known.append(edited(pick.choice([base, base, *known]), 9))
+        rows += [w + passage for w in known]
+    rows += [[f"d{i}x{k}" for k in range(pick.randrange(2, 50))] + passage for i in range(40)]
+    return [(i, " ".join(w)) for i, w in enumerate(rows)]
+
+
+@pytest.mark.parametrize("bucket", [48, 3, 0])
+def test_large_buckets_lose_no_link(spark, monkeypatch, bucket):
+    monkeypatch.setattr(jaccard_join, "BUCKET", bucket)
+    rows = families(4)
+    sets = {i: shingles(text) for i, text in rows}
+    least = {i: i for i in sets}
+    links = [(a, b) for a, b in itertools.combinations(sets, 2) if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])]
+    for _ in range(20):
+        for a, b in links:
+            least[a] = least[b] = min(least[a], least[b])
+    assert 20 < len(set(least.values())) < len(rows) - 60
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in jaccard_join.jaccard_groups(frame).collect()}
+    assert got == least

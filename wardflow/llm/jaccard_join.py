@@ -16,6 +16,17 @@ similarity 0.8 two sets of sizes s and t differ by (s + t) / 9 at most.
 * At the first level, where sets differ by one n-gram at most, the whole set is one segment
   and gives its key and the keys of its one-deletion neighbourhood.
 
+Sets that share a key meet as a star: one of them, the centre, is verified with each other.
+Pairs that the stars leave in different components are taken up again:
+
+* in a bucket of few sets, pair by pair;
+* in a larger one by what sets do not share with the centre. With x and y the differences of
+  two sets to the centre, similar sets differ by |x ^ y| <= d, so x and y have all but about
+  d / 2 members of the smaller one in common. Of each difference the rarest members are
+  indexed, d / 2 + 1 of the smaller and d + 1 of the larger one (any two orders that agree will
+  do); a common one makes the pair a candidate. A member that again very many sets have is a
+  bucket of its own with a centre of its own, and so on: every round takes its centres out.
+
 Candidates are verified on the sets themselves.
 """
 
@@ -25,7 +36,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from wardflow.llm import words
@@ -33,10 +44,12 @@ from wardflow.llm.components import components
 from wardflow.session import materialize
 
 WORDS = 5
-#: Similarity as a fraction: 80 / 100.
+#: Similarity as a fraction: 80 / 100. Levels and numbers of keys follow from it (``levels_of``).
 SIMILARITY = (80, 100)
+#: Sets of a bucket that are compared pair by pair.
+BUCKET = 48
 #: Smallest size of each level.
-LEVELS = np.array([4, 8, 32, 128, 512, 2048, 8192, 32768, 1 << 17, 1 << 19, 1 << 21])
+LEVELS = np.array([4, 8] + [1 << e for e in range(5, 41, 2)])
 #: Bound of the table of common n-grams.
 COMMON = 1 << 16
 
@@ -67,10 +80,11 @@ def fingerprint(grams: np.ndarray) -> int:
 def levels_of(size: int) -> list[tuple[int, int]]:
     """Levels at which a set of this size meets partners, and the most differences there."""
     own = int(np.searchsorted(LEVELS, size, side="right")) - 1
-    below = int(np.searchsorted(LEVELS, -(-size * 4 // 5), side="right")) - 1
-    found = [(own, size // 4)] if own >= 0 else []
+    part, whole = SIMILARITY
+    below = int(np.searchsorted(LEVELS, -(-size * part // whole), side="right")) - 1
+    found = [(own, size * (whole - part) // part)] if own >= 0 else []
     if 0 <= below < own:
-        found.append((below, 2 * size // 9))
+        found.append((below, 2 * size * (whole - part) // (whole + part)))
     return found
 
 
@@ -219,6 +233,92 @@ def similar_pairs(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     )
 
 
+def with_centers(buckets: DataFrame) -> DataFrame:
+    """Rows (key, fp, center): the centre of a bucket is the set that is in most buckets.
+
+    An original shares more with its edited copies than they do with each other.
+    """
+    degree = buckets.groupBy("fp").agg(F.count("*").alias("_degree"))
+    best = buckets.join(degree, "fp").groupBy("key").agg(F.max(F.struct("_degree", "fp"))["fp"].alias("center"))
+    return buckets.join(best, "key").select("key", "fp", "center")
+
+
+def placed_in(buckets: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """Add ``component`` and ``center_component``; without links a set is its own."""
+    if labels is None:
+        return buckets.select("*", F.col("fp").alias("component"), F.col("center").alias("center_component"))
+    of_set, of_center = (
+        labels.select(F.col("node").alias(name), F.col("component").alias(f"_{name}")) for name in ("fp", "center")
+    )
+    return buckets.join(of_set, "fp", "left").join(of_center, "center", "left").select(
+        *buckets.columns, F.coalesce("_fp", "fp").alias("component"), F.coalesce("_center", "center").alias("center_component")
+    )
+
+
+def scattered(placed: DataFrame, *key: str) -> DataFrame:
+    """Buckets with sets of different components; ``many`` if more than ``BUCKET`` are not of the largest one."""
+    parts = placed.groupBy(*key, "component").agg(F.count("*").alias("_n"))
+    outside = parts.groupBy(*key).agg((F.sum("_n") - F.max("_n")).alias("_outside"))
+    return outside.where("_outside > 0").select(*key, (F.col("_outside") > BUCKET).alias("many"))
+
+
+def pairs_of_few(placed: DataFrame) -> DataFrame:
+    """Pairs (a, b) of a bucket that lie in different components."""
+    a = placed.select("key", F.col("fp").alias("a"), F.col("component").alias("_p"))
+    b = placed.select("key", F.col("fp").alias("b"), F.col("component").alias("_q"))
+    return a.join(b, "key").where("a < b AND _p <> _q").select("a", "b")
+
+
+def rare_differences(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """Rows (center, gram, fp, component, n_grams, indexed): the rarest members of the
+    difference between a set and its centre, as many as a similar set can lack.
+
+    Similar sets differ by (s + t) / 9 members at most, a quarter of either one's size (at 0.8).
+    """
+    part, whole = SIMILARITY
+    most = f"_n * {whole - part} div {part}"
+    own = sets.select("fp", F.col("grams").alias("_own"))
+    other = sets.select(F.col("fp").alias("center"), F.col("grams").alias("_other"))
+    apart = members.where("fp <> center").join(own, "fp").join(other, "center").select(
+        "center", "fp", "component", F.size("_own").alias("_n"),
+        F.concat(F.array_except("_own", "_other"), F.array_except("_other", "_own")).alias("_apart"),
+    )
+    grams = apart.select("center", "fp", "component", "_n", F.size("_apart").alias("n_grams"), F.explode("_apart").alias("gram"))
+    grams = materialize(grams, "difference_grams")
+    counts = grams.groupBy("center", "gram").agg(F.count("*").alias("_often"))
+    by_count = Window.partitionBy("center", "fp").orderBy("_often", "gram")
+    ranked = grams.join(counts, ["center", "gram"]).withColumn("_rank", F.row_number().over(by_count))
+    return ranked.where(f"_often > 1 AND _rank <= {most} + 1").select(
+        "center", "gram", "fp", "component", "n_grams", (F.col("_rank") <= F.expr(f"{most} div 2 + 1")).alias("indexed")
+    )
+
+
+def _crowded(rare: DataFrame) -> DataFrame:
+    """Rows (center, gram, many): whether more than a bucket's sets would meet many others at a gram."""
+    indexed = rare.groupBy("center", "gram").agg(F.count_if("indexed").alias("_indexed"))
+    apart = scattered(rare, "center", "gram")
+    return apart.join(indexed, ["center", "gram"]).select(
+        "center", "gram", (F.col("many") & (F.col("_indexed") > BUCKET)).alias("many")
+    )
+
+
+def pairs_of_differences(rare: DataFrame) -> DataFrame:
+    """Pairs (a, b) in different components with a common indexed member that not very many have."""
+    some = rare.join(_crowded(rare).where("NOT many").select("center", "gram"), ["center", "gram"])
+    a = some.where("indexed").select("center", "gram", F.col("fp").alias("_a"), F.col("component").alias("_p"), F.col("n_grams").alias("_s"))
+    b = some.select("center", "gram", F.col("fp").alias("_b"), F.col("component").alias("_q"), F.col("n_grams").alias("_t"))
+    # The set that differs less from the centre is the one that is indexed.
+    return a.join(b, ["center", "gram"]).where("_p <> _q AND _s <= _t").select(
+        F.least("_a", "_b").alias("a"), F.greatest("_a", "_b").alias("b")
+    )
+
+
+def buckets_of_differences(rare: DataFrame) -> DataFrame:
+    """Rows (key, fp) of members that very many sets have: buckets of the next round."""
+    many = _crowded(rare).where("many").select("center", "gram")
+    return rare.join(many, ["center", "gram"]).select(F.xxhash64("center", "gram").alias("key"), "fp")
+
+
 def jaccard_groups(docs: DataFrame, *, length: int = WORDS) -> DataFrame:
     """Rows (row_key, doc_id, n_shingles, component, component_id) for ``docs`` (doc_id, text).
 
@@ -229,9 +329,8 @@ def jaccard_groups(docs: DataFrame, *, length: int = WORDS) -> DataFrame:
     repeated rows and rows with the same set link whatever their ids; NULL ids stay NULL
     unless a linked document has one. Other columns are not read. No rows give no rows.
 
-    Equal sets share a fingerprint and are one set from there on. Sets that share a key are
-    linked as a star around one of them, not as all pairs; what the star leaves in different
-    components is compared pair by pair in further steps, so that no link is missed.
+    Equal sets share a fingerprint and are one set from there on. No link is missed, and no
+    bucket of many sets is compared pair by pair (see the head of this module).
     """
     texts = docs.select("doc_id", "text", row_key("doc_id", "text").alias("row_key"))
     described = materialize(describe(texts, length), "shingle_sets")
@@ -243,11 +342,9 @@ def jaccard_groups(docs: DataFrame, *, length: int = WORDS) -> DataFrame:
     keys = index_keys(texts.select("text"), length, [(r["fp"], r["n"]) for r in common])
     # A bucket matters if it has two different sets. The rows of those buckets are written;
     # they are few compared with all keys.
-    bucket = F.expr("min(fp) OVER (PARTITION BY key)")
-    other = F.expr("max(fp) OVER (PARTITION BY key)")
+    first, last = F.expr("min(fp) OVER (PARTITION BY key)"), F.expr("max(fp) OVER (PARTITION BY key)")
     shared = materialize(
-        keys.withColumn("center", bucket).withColumn("_last", other).where("center <> _last")
-        .select("key", "fp", "center").distinct(),
+        keys.withColumn("_first", first).withColumn("_last", last).where("_first <> _last").select("key", "fp").distinct(),
         "shared_keys",
     )
     known = described.where("kind = 0 AND n > 0").groupBy("fp").agg(
@@ -275,8 +372,8 @@ def jaccard_groups(docs: DataFrame, *, length: int = WORDS) -> DataFrame:
         )
         return (
             pairs.distinct().join(side("a", "_n", "_u"), "a").join(side("b", "_m", "_v"), "b")
-            .where("100 * least(_n, _m) >= 80 * greatest(_n, _m)")
-            .where(differing * 9 <= F.col("_n") + F.col("_m"))
+            .where(F.least("_n", "_m") * SIMILARITY[1] >= F.greatest("_n", "_m") * SIMILARITY[0])
+            .where(differing * sum(SIMILARITY) <= (F.col("_n") + F.col("_m")) * (SIMILARITY[1] - SIMILARITY[0]))
             .select("a", "b", "a_row", "b_row")
         )
 
@@ -288,27 +385,37 @@ def jaccard_groups(docs: DataFrame, *, length: int = WORDS) -> DataFrame:
         sets = materialize(sets_of(near, length), f"{name}_sets")
         return materialize(similar_pairs(pairs.select("a", "b"), sets).distinct(), f"{name}_links")
 
-    star = shared.where("fp <> center").select(F.col("center").alias("a"), F.col("fp").alias("b"))
-    links = verified(star, "star")
-    labels = components(links)
-    # What still lies in different components of one bucket, but for the pairs already tested.
-    placed = shared.join(labels.withColumnRenamed("node", "fp"), "fp", "left").select(
-        "key", "fp", "center", F.coalesce("component", "fp").alias("component")
-    )
-    open_keys = placed.groupBy("key").agg(F.min("component").alias("_x"), F.max("component").alias("_y"))
-    placed = materialize(placed.join(open_keys.where("_x <> _y").select("key"), "key", "left_semi"), "open_keys")
-    others = placed.where("fp <> center")
-    left = others.select("key", F.col("fp").alias("a"), F.col("component").alias("_p"))
-    right = others.select("key", F.col("fp").alias("b"), F.col("component").alias("_q"))
-    rest = left.join(right, "key").where("a < b AND _p <> _q").select("a", "b")
-    more = verified(rest, "rest") if not placed.isEmpty() else links.limit(0)
-    if not more.isEmpty():
-        labels = components(links.union(more))
+    links, labels, buckets = None, None, materialize(with_centers(shared), "buckets")
+    while buckets is not None:
+        placed = placed_in(buckets, labels)
+        star = placed.where("component <> center_component").select(F.col("center").alias("a"), F.col("fp").alias("b"))
+        found = verified(star, "star")
+        links = found if links is None else materialize(links.unionByName(found).distinct(), "links")
+        labels = components(links)
+        # What still lies in different components of one bucket.
+        placed = placed_in(buckets, labels)
+        placed = materialize(placed.join(scattered(placed, "key"), "key"), "open_buckets")
+        pairs = pairs_of_few(placed.where(~F.col("many")))
+        many = placed.where("many").select("center", "fp", "component").distinct()
+        buckets = None
+        if not many.isEmpty():
+            inner = many.select("fp").union(many.select(F.col("center").alias("fp"))).distinct()
+            rows = inner.join(sketches.select("fp", "row_key"), "fp").select("row_key").distinct()
+            near = texts.join(rows.hint("merge"), "row_key", "left_semi").select("text")
+            sets = materialize(sets_of(near, length).dropDuplicates(["fp"]), "bucket_sets")
+            rare = materialize(rare_differences(many, sets), "differences")
+            pairs = pairs.unionByName(pairs_of_differences(rare))
+            buckets = materialize(with_centers(buckets_of_differences(rare)), "buckets")
+            buckets = None if buckets.isEmpty() else buckets
+        more = verified(pairs, "rest")
+        if not more.isEmpty():
+            links = materialize(links.unionByName(more).distinct(), "links")
+            labels = components(links)
     owned = members.join(labels.withColumnRenamed("node", "fp"), "fp", "left").withColumn(
         # Blank texts have no set in common with anything: each row is its own group.
         "_group", F.when(F.col("n") > 0, F.coalesce("component", "fp"))
     )
-    smallest = owned.where("_group IS NOT NULL").groupBy("_group").agg(F.min("doc_id").alias("_least"))
+    smallest = materialize(owned.where("_group IS NOT NULL").groupBy("_group").agg(F.min("doc_id").alias("_least")), "smallest_ids")
     return owned.join(smallest, "_group", "left").select(
         "row_key",
         "doc_id",
