@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from wardflow.llm.columns import keeps_columns, quoted
 from wardflow.session import materialize
 
 WINDOW = 13
@@ -114,6 +115,7 @@ def near_matches(index: DataFrame, terms: DataFrame, near: int) -> DataFrame:
     )
 
 
+@keeps_columns("doc_id", "text", new=("n_words", "n_hit", "item_ids", "spans", "near_ids", "contaminated"))
 def contamination(
     docs: DataFrame, items: DataFrame, *, window: int = WINDOW, near: int = NEAR, share: int = 20
 ) -> DataFrame:
@@ -130,7 +132,6 @@ def contamination(
     answer, repeated items count once, an empty table of either side gives clean documents.
     Columns of the result's names are replaced, others stay.
     """
-    new = ("n_words", "n_hit", "item_ids", "spans", "near_ids", "contaminated")
     id_type = dict(items.dtypes)["item_id"]
     row_key = F.xxhash64("doc_id", "text").alias("row_key")
     worded = docs.select(row_key, words_of(F.col("text")).alias("words"))
@@ -149,16 +150,14 @@ def contamination(
         near_matches(index, terms, near).join(items.select("item_key", "item_id"), "item_key")
         .groupBy("row_key").agg(F.array_sort(F.collect_set(F.col("item_id").cast("string"))).alias("near_ids"))
     )
-    # The caller's columns travel as one, so none can clash with those of the operator. What a
-    # filter on the result reads are columns of the small tables, never the words of a text.
-    own = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c not in new]).alias("own")
-    found = docs.select(own, row_key).join(hits, "row_key", "left").join(close, "row_key", "left")
+    # What a filter on the result reads are columns of the small tables, never the words of a text.
+    found = docs.select("*", row_key).join(hits, "row_key", "left").join(close, "row_key", "left")
     n_hit = F.coalesce("n_hit", F.lit(0)).cast("long")
     none = {"item_ids": "array<string>", "spans": span_type(id_type), "near_ids": "array<string>"}
     lists = {name: F.coalesce(name, F.array().cast(kind)).alias(name) for name, kind in none.items()}
     return found.select(
-        "own.*",
-        F.size(words_of(F.col("own.text"))).cast("long").alias("n_words"),
+        *map(quoted, docs.columns),
+        F.size(words_of(F.col("text"))).cast("long").alias("n_words"),
         n_hit.alias("n_hit"),
         *lists.values(),
         ((n_hit > 0) & (n_hit * share >= F.col("n_all"))).alias("contaminated"),

@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wardflow.llm.components import components
+from wardflow.llm.columns import keeps_columns
 from wardflow.session import materialize
 
 THRESHOLD = 0.95
@@ -119,6 +120,7 @@ def forest(i: np.ndarray, j: np.ndarray, n: int) -> np.ndarray:
     return np.array(chosen, np.int64)
 
 
+@keeps_columns("vec_id", "embedding", new=("n_links", "component_id"))
 def near_duplicates(vectors: DataFrame, *, threshold: float = THRESHOLD, tile: int = TILE) -> DataFrame:
     """``vectors`` (vec_id, embedding, others) with n_links and component_id.
 

@@ -17,6 +17,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from wardflow.llm.columns import keeps_columns
+
 WINDOW = 128
 WIDTHS = (2, 3, 4)
 FILTERS = 12
@@ -238,14 +240,15 @@ def predicted(column: Column, net: Network | None) -> Column:
     return predict(F.when(column.rlike(r"\p{L}"), column))
 
 
-def identify(docs: DataFrame, net: Network | None, text: str = "text") -> DataFrame:
-    """``docs`` with ``lang_pred`` and ``lang_score`` (replacing columns of that name).
+@keeps_columns("text", new=("lang_pred", "lang_score"))
+def identify(docs: DataFrame, net: Network | None) -> DataFrame:
+    """``docs`` (text, others) with ``lang_pred`` and ``lang_score`` (replacing columns of that name).
 
     Only the text goes through Python; every other column, of whatever name, stays as it
     is. Repeated rows get the same answer; no rows give no rows.
     """
     return (
-        docs.withColumn("_predicted", predicted(F.col(text), net))
+        docs.withColumn("_predicted", predicted(F.col("text"), net))
         .withColumn("lang_pred", F.col("_predicted.lang"))
         .withColumn("lang_score", F.col("_predicted.score"))
         .drop("_predicted")

@@ -15,6 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from wardflow.llm.columns import keeps_columns
 from wardflow.session import materialize
 
 #: Words a line needs to be compared at all, and to be compared with one edit.
@@ -170,6 +171,7 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
     )
 
 
+@keeps_columns("doc_id", "text", new=("n_lines", "removed_lines"))
 def dedup_lines(docs: DataFrame) -> DataFrame:
     """``docs`` (doc_id, text, others) with n_lines, removed_lines, and text without those lines.
 

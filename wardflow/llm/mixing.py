@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from wardflow.llm.columns import CARRIED, quoted
 from wardflow.session import materialize
 
 # The word pattern of sizes, weights by place in the order of sources.
@@ -102,11 +103,17 @@ def mix(
     the ranges before hold. No task sees more than about sqrt(n) rows of one source at once.
     """
     own = ["size", "source_size", "target", "epochs", "taken"]
-    columns = [c for c in docs.columns if c not in own]
-    weight = F.coalesce(quality.cast("double"), F.lit(1.0))
-    key = exponential_key(F.col("_weight"), F.col(identity))
-    sized = docs.withColumn("size", F.coalesce(size, F.lit(0)).cast("long")).withColumn("_weight", weight)
-    totals = sized.groupBy(F.col(source).alias("source")).agg(
+    # The caller's columns travel as one, so none can clash with those made here.
+    carried = F.struct(*[quoted(c) for c in docs.columns if c not in own])
+    key = exponential_key(F.col("_weight"), F.col("_id"))
+    sized = docs.select(
+        carried.alias(CARRIED),
+        F.coalesce(size, F.lit(0)).cast("long").alias("size"),
+        F.coalesce(quality.cast("double"), F.lit(1.0)).alias("_weight"),
+        F.col(source).alias("_from"),
+        F.col(identity).alias("_id"),
+    )
+    totals = sized.groupBy(F.col("_from").alias("source")).agg(
         F.sum("size").alias("source_size"), F.count("*").alias("_rows")
     )
     totals = materialize(totals, "source_sizes")
@@ -121,14 +128,13 @@ def mix(
     ranges = F.ceil(F.sqrt("_rows"))
     spread = 1 - F.exp(-F.col("_key"))  # grows with the key, within 0 and 1
     placed = (
-        sized.drop("source_size", "target")
-        .withColumn("_key", key)
-        .join(targets, F.col(source).eqNullSafe(F.col("_source")))
+        sized.withColumn("_key", key)
+        .join(targets, F.col("_from").eqNullSafe(F.col("_source")))
         .withColumn("_range", F.floor(spread * ranges))
         .withColumn("_whole", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0))
         .withColumn("_budget", F.col("target") - F.col("_whole") * F.col("source_size"))
     )
-    in_range = Window.partitionBy("_source", "_range").orderBy("_key", identity, "size")
+    in_range = Window.partitionBy("_source", "_range").orderBy("_key", "_id", "size")
     before = F.coalesce(F.sum("size").over(in_range.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     sums = placed.groupBy("_source", "_range").agg(F.sum("size").alias("_range_size"))
     by_range = Window.partitionBy("_source").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
@@ -142,7 +148,8 @@ def mix(
     )
     start = F.col("_before") + F.col("_ranges_before")
     chosen = (start + F.col("size") / 2) <= F.col("_budget")
-    epochs = (F.col("_whole") + F.when((F.col("_budget") > 0) & chosen & (F.col("size") > 0), 1).otherwise(0)).cast("int")
+    once_more = F.when((F.col("_budget") > 0) & chosen, 1).otherwise(0)
+    epochs = F.when(F.col("size") > 0, F.col("_whole") + once_more).otherwise(0).cast("int")
     return placed.withColumn("epochs", epochs).select(
-        *columns, "size", "source_size", "target", "epochs", (F.col("size") * F.col("epochs")).alias("taken")
+        f"{CARRIED}.*", "size", "source_size", "target", "epochs", (F.col("size") * F.col("epochs")).alias("taken")
     )

@@ -44,7 +44,8 @@ WITH quality AS (
                  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
   FROM keyed
 ), taken AS (
-  SELECT *, whole + CASE WHEN budget > 0 AND size > 0 AND before + size / 2 <= budget THEN 1 ELSE 0 END AS epochs
+  SELECT *, CASE WHEN size = 0 THEN 0
+           ELSE whole + CASE WHEN budget > 0 AND before + size / 2 <= budget THEN 1 ELSE 0 END END AS epochs
   FROM summed
 )
 SELECT doc_id, size, source_size, target, (size * epochs)::BIGINT AS taken, source, epochs::INTEGER AS epochs

@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wardflow.llm import words
+from wardflow.llm.columns import keeps_columns
 
 LENGTH = 20
 
@@ -161,6 +162,7 @@ def repeated_windows(docs: DataFrame, *, length: int = LENGTH) -> DataFrame:
     return removed_starts(long_windows(near.select("doc_id", "order_key", "text", "places"), length))
 
 
+@keeps_columns("doc_id", "text", new=("n_words", "n_removed", "kept", "removed_spans"))
 def remove_repeats(docs: DataFrame, *, length: int = LENGTH) -> DataFrame:
     """``docs`` (doc_id, text, others) with n_words, n_removed, kept and removed_spans.
 

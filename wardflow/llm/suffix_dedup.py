@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wardflow.llm import words
+from wardflow.llm.columns import keeps_columns, quoted
 from wardflow.llm.suffix_arrays import suffix_arrays
 from wardflow.session import materialize
 
@@ -41,6 +42,7 @@ SORT_BYTES, RUN_BYTES = 1 << 21, 1 << 20
 SPANS = "array<struct<begin:int,end:int>>"
 
 
+@keeps_columns("doc_id", "text", new=("n_bytes", "n_removed", "removed_spans", "kept"))
 def remove_earlier_strings(docs: DataFrame, *, length: int = LENGTH, label_pieces: int = LABEL_PIECES) -> DataFrame:
     """Add n_bytes, n_removed, removed_spans and kept (binary) to ``docs`` (doc_id, text).
 
@@ -51,20 +53,18 @@ def remove_earlier_strings(docs: DataFrame, *, length: int = LENGTH, label_piece
     each other. ``doc_id`` is a whole number. Other columns of ``docs`` stay; a column with the
     name of a new one is replaced.
     """
-    new = ("n_bytes", "n_removed", "removed_spans", "kept")
-    own = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c not in new])
-    rows = docs.select(own.alias("own"), F.col("doc_id").cast("long").alias("id"), F.xxhash64("text").alias("version"))
+    rows = docs.select("*", F.col("doc_id").cast("long").alias("id"), F.xxhash64("text").alias("version"))
     known = docs.select(F.col("doc_id").cast("long").alias("id"), F.xxhash64("text").alias("version"), "text").where(
         F.col("id").isNotNull() & (F.octet_length("text") >= length)
     )
     gone = removed_spans(known, length, label_pieces)
-    text = F.coalesce("own.text", F.lit(""))
+    text = F.coalesce("text", F.lit(""))
     # Only texts that lose something leave the JVM.
     cut = rows.join(gone, ["id", "version"], "left").select(
-        "own", _cutter()(F.when(F.col("spans").isNotNull(), text), "spans.begin", "spans.end").alias("_cut")
+        *map(quoted, docs.columns), _cutter()(F.when(F.col("spans").isNotNull(), text), "spans.begin", "spans.end").alias("_cut")
     )
     return cut.select(
-        "own.*",
+        *map(quoted, docs.columns),
         F.octet_length(text).cast("long").alias("n_bytes"),
         F.coalesce("_cut.n_removed", F.lit(0)).cast("long").alias("n_removed"),
         F.coalesce("_cut.removed_spans", F.array().cast("array<struct<begin:int,end:int>>")).alias("removed_spans"),

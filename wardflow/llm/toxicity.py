@@ -21,6 +21,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from wardflow.llm.columns import keeps_columns
 from wardflow.session import materialize
 
 #: Bound of the labelled sample, for each of the two classes.
@@ -210,6 +211,7 @@ def fit_classifier(
     return Classifier(b, w, u)
 
 
+@keeps_columns("doc_id", "text", new=("toxicity",), dropped=("text",))
 def score_toxicity(
     docs: DataFrame,
     labels: DataFrame,
