@@ -31,7 +31,7 @@ from wardflow.session import materialize
 
 LENGTH = 50
 #: Bytes of the strings whose hashes label a window.
-GRAM = 16
+GRAM = 24
 #: Windows of a piece at most; longer runs of a label (repetitive text) are cut.
 PIECE = 64
 #: Pieces of a label at most that go to one suffix array whole.
