@@ -98,7 +98,8 @@ def families(seed):
 
 @pytest.mark.parametrize("bucket", [48, 3, 0])
 def test_large_buckets_lose_no_link(spark, monkeypatch, bucket):
-    monkeypatch.setattr(jaccard_join, "BUCKET", bucket)
+    for bound in ("BUCKET", "OUTSIDE", "CROWD"):
+        monkeypatch.setattr(jaccard_join, bound, min(bucket, getattr(jaccard_join, bound)))
     rows = families(4)
     sets = {i: shingles(text) for i, text in rows}
     least = {i: i for i in sets}

@@ -46,8 +46,10 @@ from wardflow.session import materialize
 WORDS = 5
 #: Similarity as a fraction: 80 / 100. Levels and numbers of keys follow from it (``levels_of``).
 SIMILARITY = (80, 100)
-#: Sets of a bucket that are compared pair by pair.
-BUCKET = 48
+#: Buckets are compared pair by pair up to this many sets, or this many outside the largest component.
+BUCKET, OUTSIDE = 48, 8
+#: Sets outside the largest component up to which those with a common difference are compared.
+CROWD = 64
 #: Smallest size of each level.
 LEVELS = np.array([4, 8] + [1 << e for e in range(5, 41, 2)])
 #: Bound of the table of common n-grams.
@@ -243,23 +245,26 @@ def with_centers(buckets: DataFrame) -> DataFrame:
     return buckets.join(best, "key").select("key", "fp", "center")
 
 
-def placed_in(buckets: DataFrame, labels: DataFrame | None) -> DataFrame:
-    """Add ``component`` and ``center_component``; without links a set is its own."""
+def placed_in(buckets: DataFrame, labels: DataFrame) -> DataFrame:
+    """Add ``component``; a set without links is its own."""
+    of_set = labels.select(F.col("node").alias("fp"), F.col("component").alias("_own"))
+    return buckets.join(of_set, "fp", "left").select(*buckets.columns, F.coalesce("_own", "fp").alias("component"))
+
+
+def apart_from_center(buckets: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """Rows of sets that are not in one component with their centre."""
     if labels is None:
-        return buckets.select("*", F.col("fp").alias("component"), F.col("center").alias("center_component"))
-    of_set, of_center = (
-        labels.select(F.col("node").alias(name), F.col("component").alias(f"_{name}")) for name in ("fp", "center")
-    )
-    return buckets.join(of_set, "fp", "left").join(of_center, "center", "left").select(
-        *buckets.columns, F.coalesce("_fp", "fp").alias("component"), F.coalesce("_center", "center").alias("center_component")
-    )
+        return buckets.where("fp <> center")
+    of_center = labels.select(F.col("node").alias("center"), F.col("component").alias("_center"))
+    both = placed_in(buckets, labels).join(of_center, "center", "left")
+    return both.where(F.col("component") != F.coalesce("_center", "center"))
 
 
 def scattered(placed: DataFrame, *key: str) -> DataFrame:
-    """Buckets with sets of different components; ``many`` if more than ``BUCKET`` are not of the largest one."""
+    """Rows (key, size, outside) of buckets with sets of different components; ``outside`` the largest one."""
     parts = placed.groupBy(*key, "component").agg(F.count("*").alias("_n"))
-    outside = parts.groupBy(*key).agg((F.sum("_n") - F.max("_n")).alias("_outside"))
-    return outside.where("_outside > 0").select(*key, (F.col("_outside") > BUCKET).alias("many"))
+    sums = parts.groupBy(*key).agg(F.sum("_n").alias("size"), (F.sum("_n") - F.max("_n")).alias("outside"))
+    return sums.where("outside > 0")
 
 
 def pairs_of_few(placed: DataFrame) -> DataFrame:
@@ -298,7 +303,7 @@ def _crowded(rare: DataFrame) -> DataFrame:
     indexed = rare.groupBy("center", "gram").agg(F.count_if("indexed").alias("_indexed"))
     apart = scattered(rare, "center", "gram")
     return apart.join(indexed, ["center", "gram"]).select(
-        "center", "gram", (F.col("many") & (F.col("_indexed") > BUCKET)).alias("many")
+        "center", "gram", ((F.col("outside") > CROWD) & (F.col("_indexed") > CROWD)).alias("many")
     )
 
 
@@ -342,9 +347,10 @@ def jaccard_groups(docs: DataFrame, *, length: int = WORDS) -> DataFrame:
     keys = index_keys(texts.select("text"), length, [(r["fp"], r["n"]) for r in common])
     # A bucket matters if it has two different sets. The rows of those buckets are written;
     # they are few compared with all keys.
-    first, last = F.expr("min(fp) OVER (PARTITION BY key)"), F.expr("max(fp) OVER (PARTITION BY key)")
+    first, last, sets = (F.expr(f"{f} OVER (PARTITION BY key)") for f in ("min(fp)", "max(fp)", "count(*)"))
     shared = materialize(
-        keys.withColumn("_first", first).withColumn("_last", last).where("_first <> _last").select("key", "fp").distinct(),
+        keys.select("key", "fp", first.alias("center"), last.alias("_last"), (sets > BUCKET).alias("large"))
+        .where("center <> _last").select("key", "fp", "center", "large").distinct(),
         "shared_keys",
     )
     known = described.where("kind = 0 AND n > 0").groupBy("fp").agg(
@@ -385,16 +391,20 @@ def jaccard_groups(docs: DataFrame, *, length: int = WORDS) -> DataFrame:
         sets = materialize(sets_of(near, length), f"{name}_sets")
         return materialize(similar_pairs(pairs.select("a", "b"), sets).distinct(), f"{name}_links")
 
-    links, labels, buckets = None, None, materialize(with_centers(shared), "buckets")
+    buckets = shared.where("NOT large").select("key", "fp", "center").unionByName(
+        materialize(with_centers(shared.where("large").select("key", "fp")), "large_buckets")
+    )
+    links, labels = None, None
     while buckets is not None:
-        placed = placed_in(buckets, labels)
-        star = placed.where("component <> center_component").select(F.col("center").alias("a"), F.col("fp").alias("b"))
+        star = apart_from_center(buckets, labels).select(F.col("center").alias("a"), F.col("fp").alias("b"))
         found = verified(star, "star")
         links = found if links is None else materialize(links.unionByName(found).distinct(), "links")
         labels = components(links)
         # What still lies in different components of one bucket.
         placed = placed_in(buckets, labels)
-        placed = materialize(placed.join(scattered(placed, "key"), "key"), "open_buckets")
+        sizes = scattered(placed, "key")
+        sizes = sizes.select("key", ((F.col("size") > BUCKET) & (F.col("outside") > OUTSIDE)).alias("many"))
+        placed = materialize(placed.join(sizes, "key"), "open_buckets")
         pairs = pairs_of_few(placed.where(~F.col("many")))
         many = placed.where("many").select("center", "fp", "component").distinct()
         buckets = None
@@ -407,10 +417,8 @@ def jaccard_groups(docs: DataFrame, *, length: int = WORDS) -> DataFrame:
             pairs = pairs.unionByName(pairs_of_differences(rare))
             buckets = materialize(with_centers(buckets_of_differences(rare)), "buckets")
             buckets = None if buckets.isEmpty() else buckets
-        more = verified(pairs, "rest")
-        if not more.isEmpty():
-            links = materialize(links.unionByName(more).distinct(), "links")
-            labels = components(links)
+        links = materialize(links.unionByName(verified(pairs, "rest")).distinct(), "links")
+    labels = components(links)
     owned = members.join(labels.withColumnRenamed("node", "fp"), "fp", "left").withColumn(
         # Blank texts have no set in common with anything: each row is its own group.
         "_group", F.when(F.col("n") > 0, F.coalesce("component", "fp"))
