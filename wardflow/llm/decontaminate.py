@@ -145,7 +145,7 @@ def contamination(
     begins = aligned(index, items).join(items, "item_key").groupBy("row_key").agg(
         F.collect_list(F.struct("item_id", "begin", "words")).alias("begins")
     )
-    hits = materialize(verified_hits(worded, begins, window, id_type), "hits")
+    hits = materialize(verified_hits(docs.select(row_key, "text"), begins, window, id_type), "hits")
     close = (
         near_matches(index, terms, near).join(items.select("item_key", "item_id"), "item_key")
         .groupBy("row_key").agg(F.array_sort(F.collect_set(F.col("item_id").cast("string"))).alias("near_ids"))
@@ -168,7 +168,7 @@ def span_type(id_type: str) -> str:
     return f"array<struct<item_id:{id_type},begin:int,end:int>>"
 
 
-def verified_hits(worded: DataFrame, begins: DataFrame, window: int, id_type: str) -> DataFrame:
+def verified_hits(texts: DataFrame, begins: DataFrame, window: int, id_type: str) -> DataFrame:
     """Rows (row_key, n_all, n_hit, spans, item_ids) for documents in which windows occur.
 
     ``begins`` lists where items may begin; their words are compared with the document's.
@@ -191,7 +191,8 @@ def verified_hits(worded: DataFrame, begins: DataFrame, window: int, id_type: st
             ),
         )
 
-    spans = worded.join(begins, "row_key").select(
+    # Texts are shuffled, not their words; only those with a candidate are split then.
+    spans = texts.join(begins, "row_key").withColumn("words", words_of(F.col("text"))).select(
         "row_key", F.size("words").alias("n_all"), F.flatten(F.transform("begins", occurrences)).alias("spans")
     )
     spans = materialize(spans.dropDuplicates(["row_key"]), "occurrences").where(F.size("spans") > 0)
