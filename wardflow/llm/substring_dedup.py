@@ -88,9 +88,9 @@ def repeated_places(found: DataFrame) -> DataFrame:
 
 
 def long_windows(docs: DataFrame, length: int) -> DataFrame:
-    """Rows (window, doc_id, order) for windows around repeated anchors.
+    """Rows (window, check, doc_id, order) for windows around repeated anchors.
 
-    Of equal windows of a batch the earliest goes to the common hash; the others are
+    ``window`` and ``check`` are 127 bits of hashes of a window's words. Of equal windows of a batch the earliest goes to the common hash; the others are
     later ones for sure and are sent under hashes of their own (negative, as above).
     ``order`` holds 31 bits of the text's hash, which tell rows of one id apart, and the place.
     """
@@ -105,6 +105,7 @@ def long_windows(docs: DataFrame, length: int) -> DataFrame:
             parts = []
             for run in words.runs(batch.column("text"), lower=False):
                 grams, bounds = run.grams(length)
+                others, _ = run.grams(length, words.OTHER_FACTOR)
                 for i in range(len(run)):
                     n = bounds[i + 1] - bounds[i]
                     if n <= 0:
@@ -115,27 +116,28 @@ def long_windows(docs: DataFrame, length: int) -> DataFrame:
                     np.add.at(near, np.clip(places + 1, 0, n), -1)
                     at = np.flatnonzero(np.cumsum(near)[:n])
                     owner = np.full(len(at), run.first + i)
-                    parts.append((grams[bounds[i] + at] >> np.uint64(1), owner, order_key[owner] + at))
+                    parts.append((grams[bounds[i] + at] >> np.uint64(1), others[bounds[i] + at], owner, order_key[owner] + at))
             if not parts:
                 continue
-            h, owner, order = (np.concatenate(x) for x in zip(*parts, strict=True))
-            sort = np.lexsort((order, order_ids[owner], h))
-            h, owner, order = h[sort].view(np.int64), owner[sort], order[sort]
-            later = np.append(False, h[1:] == h[:-1])
+            h, check, owner, order = (np.concatenate(x) for x in zip(*parts, strict=True))
+            sort = np.lexsort((order, order_ids[owner], check, h))
+            h, check, owner, order = h[sort].view(np.int64), check[sort].view(np.int64), owner[sort], order[sort]
+            later = np.append(False, (h[1:] == h[:-1]) & (check[1:] == check[:-1]))
             first = np.maximum.accumulate(np.where(~later, np.arange(len(h)), 0))
             # The same row twice in a batch is the same document, not a later one.
             twice = later & (order_ids[owner] == order_ids[owner[first]]) & (order == order[first])
             own = words.mixed(words.mixed(order_ids[owner].view(np.uint64)) + order.view(np.uint64))
             h = np.where(later, (own | np.uint64(1 << 63)).view(np.int64), h)[~twice]
-            owner, order = owner[~twice], order[~twice]
+            check, owner, order = check[~twice], owner[~twice], order[~twice]
             for i in range(0, len(h), 100_000):
                 yield _batch(
                     ("window", h[i : i + 100_000]),
+                    ("check", check[i : i + 100_000]),
                     ("doc_id", ids.take(pa.array(owner[i : i + 100_000]))),
                     ("order", order[i : i + 100_000]),
                 )
 
-    return docs.mapInArrow(rows, "window long, doc_id long, order long")
+    return docs.mapInArrow(rows, "window long, check long, doc_id long, order long")
 
 
 def order_key(text: str) -> Column:
@@ -145,7 +147,7 @@ def order_key(text: str) -> Column:
 
 def removed_starts(windows: DataFrame) -> DataFrame:
     """Rows (doc_id, order_key, starts): windows of a document that start earlier somewhere."""
-    earliest = Window.partitionBy("window").orderBy(F.col("doc_id").asc_nulls_first(), "order")
+    earliest = Window.partitionBy("window", "check").orderBy(F.col("doc_id").asc_nulls_first(), "order")
     first = F.first(F.struct("doc_id", "order")).over(earliest)
     return (
         windows.withColumn("_first", first)

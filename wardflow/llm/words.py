@@ -23,6 +23,9 @@ IS_WORD[list(WHITE_SPACE)] = False
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[ord("A") : ord("Z") + 1] += 32
 
+# Odd factors between the members of a gram.
+GRAM_FACTOR, OTHER_FACTOR = 0xD6E8FEB86659FD93, 0xA0761D6478BD642F
+
 # An odd base has an inverse modulo 2**64, so a word's hash does not depend on where it stands.
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
@@ -60,23 +63,26 @@ class Run:
         for i in range(len(self)):
             yield self.first + i, self.hashes[self.bounds[i] : self.bounds[i + 1]]
 
-    def grams(self, length: int) -> tuple[np.ndarray, np.ndarray]:
-        """Hash of every window of ``length`` words that stays in its text, and bounds by text."""
+    def grams(self, length: int, factor: int = GRAM_FACTOR) -> tuple[np.ndarray, np.ndarray]:
+        """Hash of every window of ``length`` words that stays in its text, and bounds by text.
+
+        Hashes of two factors tell windows apart by 128 bits.
+        """
         n = len(self.hashes) - length + 1
         if n <= 0:
             return np.empty(0, np.uint64), np.zeros(len(self) + 1, np.int64)
-        h = gram_hashes(self.hashes, length)
+        h = gram_hashes(self.hashes, length, factor)
         counts = np.maximum(np.diff(self.bounds) - length + 1, 0)
         owner = np.repeat(np.arange(len(self)), np.diff(self.bounds))
         return h[owner[:n] == owner[length - 1 :]], np.concatenate([[0], np.cumsum(counts)])
 
 
-def gram_hashes(hashes: np.ndarray, length: int) -> np.ndarray:
+def gram_hashes(hashes: np.ndarray, length: int, factor: int = GRAM_FACTOR) -> np.ndarray:
     """Hash of every ``length`` consecutive values."""
     n = len(hashes) - length + 1
     h = hashes[:n].copy()
     for k in range(1, length):
-        h *= np.uint64(0xD6E8FEB86659FD93)
+        h *= np.uint64(factor)
         h += hashes[k : k + n]
     return mixed(h)
 
