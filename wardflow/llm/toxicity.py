@@ -29,6 +29,8 @@ SAMPLE_ROWS = 4_000
 #: Bound of the mined lexicon.
 MOST_TERMS = 1_500
 LEXICON_VOTERS = 8
+#: How often a label is right, as a voter among others.
+LABEL_ACCURACY = 0.995
 PREFIX = 4
 
 # Patterns that may speak for abuse, each a voter.
@@ -147,6 +149,13 @@ class LabelModel:
         return 1 / (1 + np.exp(-np.clip(score + np.log(self.prior / (1 - self.prior)), -30, 30)))
 
 
+def with_label(posterior: np.ndarray, label: np.ndarray) -> np.ndarray:
+    """Posterior with a label as one more voter, which is right with ``LABEL_ACCURACY``."""
+    p = np.clip(posterior, 1e-9, 1 - 1e-9)
+    z = np.log(p / (1 - p)) + (2 * label - 1) * np.log(LABEL_ACCURACY / (1 - LABEL_ACCURACY))
+    return 1 / (1 + np.exp(-z))
+
+
 def vote_matrix(votes) -> np.ndarray:
     return (np.asarray(votes, np.int64)[:, None] >> np.arange(VOTERS)) & 1
 
@@ -173,7 +182,8 @@ def fit_label_model(votes: np.ndarray, counts: np.ndarray, labels: np.ndarray, *
         np.fill_diagonal(joint, 0)
         weight = 1 / (1 + np.clip(joint, 0, 1).sum(axis=1))
         model = LabelModel(prior, np.clip(fires, 1e-4, 1 - 1e-4), weight)
-        p = np.where(known, labels, model.posterior(votes))
+        p = model.posterior(votes)
+        p = np.where(known, with_label(p, labels), p)
     return model
 
 
@@ -241,15 +251,16 @@ def score_toxicity(
     combinations = sorted(combinations)
     own = pd.DataFrame([(v, int(y)) for v, _, y in taught], columns=["votes", "label"]).value_counts().sort_index()
     votes = [c["votes"] for c in combinations] + [k[0] for k in own.index]
+    taught_as = own.groupby(level="votes").sum().to_dict()
     model = fit_label_model(
         vote_matrix(votes),
-        np.array([c["count"] for c in combinations] + list(own), float),
+        # A labelled row counts once, with its label.
+        np.array([max(c["count"] - taught_as.get(c["votes"], 0), 0) for c in combinations] + list(own), float),
         np.array([-1] * len(combinations) + [k[1] for k in own.index]),
     )
     lists, taught_votes = [np.array(t, np.int64) for _, t, _ in taught], [v for v, _, _ in taught]
     truth = np.array([y for _, _, y in taught], float)
-    # Posterior given votes and, with them, the row's own label.
-    target = 0.3 * model.posterior(vote_matrix(taught_votes)) + 0.7 * truth
+    target = with_label(model.posterior(vote_matrix(taught_votes)), truth)
     share = {y: totals.get(y, 0) / max((truth == y).sum(), 1) for y in (False, True)}
     stands_for = np.where(truth == 1, share[True], share[False])
     fitted = fit_classifier(lists, taught_votes, target, stands_for, len(terms))
