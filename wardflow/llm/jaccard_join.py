@@ -36,7 +36,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wardflow.llm import words
@@ -235,6 +235,24 @@ def similar_pairs(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     )
 
 
+def may_be_similar(n: str, bits: str, m: str, other_bits: str) -> Column:
+    """Whether sizes and parity bits of two sets (names of columns) leave the similarity possible."""
+
+    def folded(bits: str, other: str) -> Column:
+        half = (F.size(bits) / 2).cast("int")
+        halves = F.zip_with(F.slice(F.col(bits), F.lit(1), half), F.slice(F.col(bits), half + 1, half), lambda x, y: x.bitwiseXOR(y))
+        return F.when(F.size(bits) > F.size(other), halves).otherwise(F.col(bits))
+
+    differing = F.aggregate(
+        F.zip_with(folded(bits, other_bits), folded(other_bits, bits), lambda x, y: F.bit_count(x.bitwiseXOR(y))),
+        F.lit(0),
+        lambda total, x: total + x,
+    )
+    part, whole = SIMILARITY
+    near = F.least(n, m) * whole >= F.greatest(n, m) * part
+    return near & (differing * (part + whole) <= (F.col(n) + F.col(m)) * (whole - part))
+
+
 def with_centers(buckets: DataFrame) -> DataFrame:
     """Rows (key, fp, center): the centre of a bucket is the set that is in most buckets.
 
@@ -307,13 +325,19 @@ def _crowded(rare: DataFrame) -> DataFrame:
     )
 
 
-def pairs_of_differences(rare: DataFrame) -> DataFrame:
-    """Pairs (a, b) in different components with a common indexed member that not very many have."""
+def pairs_of_differences(rare: DataFrame, sketches: DataFrame) -> DataFrame:
+    """Pairs (a, b) in different components with a common indexed member that not very many have.
+
+    Rows carry the parity bits of their sets, so that only pairs that may be similar come out.
+    """
     some = rare.join(_crowded(rare).where("NOT many").select("center", "gram"), ["center", "gram"])
-    a = some.where("indexed").select("center", "gram", F.col("fp").alias("_a"), F.col("component").alias("_p"), F.col("n_grams").alias("_s"))
-    b = some.select("center", "gram", F.col("fp").alias("_b"), F.col("component").alias("_q"), F.col("n_grams").alias("_t"))
+    some = some.join(sketches.select("fp", F.col("n").alias("_n"), F.col("parity").alias("_bits")), "fp")
+    names = {"fp": "", "component": "_in", "n_grams": "_apart", "_n": "_n", "_bits": "_bits"}
+    a, b = (some.select("center", "gram", "indexed", *[F.col(c).alias(f"_{side}{end}") for c, end in names.items()]) for side in "ab")
     # The set that differs less from the centre is the one that is indexed.
-    return a.join(b, ["center", "gram"]).where("_p <> _q AND _s <= _t").select(
+    apart = (F.col("_a_in") != F.col("_b_in")) & (F.col("_a_apart") <= F.col("_b_apart"))
+    near = apart & may_be_similar("_a_n", "_a_bits", "_b_n", "_b_bits")
+    return a.where("indexed").drop("indexed").join(b.drop("indexed"), ["center", "gram"]).where(near).select(
         F.least("_a", "_b").alias("a"), F.greatest("_a", "_b").alias("b")
     )
 
@@ -324,6 +348,16 @@ def buckets_of_differences(rare: DataFrame) -> DataFrame:
     return rare.join(many, ["center", "gram"]).select(F.xxhash64("center", "gram").alias("key"), "fp")
 
 
+def with_links(links: DataFrame | None, labels: DataFrame | None, more: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """All links so far and the components they make."""
+    if links is None:
+        return more, components(more)
+    if more.isEmpty():
+        return links, labels
+    links = materialize(links.unionByName(more).distinct(), "links")
+    return links, components(links)
+
+
 def jaccard_groups(docs: DataFrame, *, length: int = WORDS) -> DataFrame:
     """Rows (row_key, doc_id, n_shingles, component, component_id) for ``docs`` (doc_id, text).
 
@@ -360,65 +394,49 @@ def jaccard_groups(docs: DataFrame, *, length: int = WORDS) -> DataFrame:
 
     def fitting(pairs: DataFrame) -> DataFrame:
         """Pairs whose sizes and parity bits allow the similarity."""
-
-        def side(name: str, n: str, bits: str) -> DataFrame:
-            return sketches.select(
-                F.col("fp").alias(name), F.col("n").alias(n), F.col("parity").alias(bits), F.col("row_key").alias(f"{name}_row")
-            )
-
-        def folded(bits: str, other: str):
-            half = (F.size(bits) / 2).cast("int")
-            halves = F.zip_with(F.slice(F.col(bits), F.lit(1), half), F.slice(F.col(bits), half + 1, half), lambda x, y: x.bitwiseXOR(y))
-            return F.when(F.size(bits) > F.size(other), halves).otherwise(F.col(bits))
-
-        differing = F.aggregate(
-            F.zip_with(folded("_u", "_v"), folded("_v", "_u"), lambda x, y: F.bit_count(x.bitwiseXOR(y))),
-            F.lit(0),
-            lambda total, x: total + x,
-        )
-        return (
-            pairs.distinct().join(side("a", "_n", "_u"), "a").join(side("b", "_m", "_v"), "b")
-            .where(F.least("_n", "_m") * SIMILARITY[1] >= F.greatest("_n", "_m") * SIMILARITY[0])
-            .where(differing * sum(SIMILARITY) <= (F.col("_n") + F.col("_m")) * (SIMILARITY[1] - SIMILARITY[0]))
-            .select("a", "b", "a_row", "b_row")
+        a, b = (
+            sketches.select(F.col("fp").alias(name), F.col("n").alias(f"_n{name}"), F.col("parity").alias(f"_bits{name}"))
+            for name in ("a", "b")
         )
+        return pairs.distinct().join(a, "a").join(b, "b").where(may_be_similar("_na", "_bitsa", "_nb", "_bitsb")).select("a", "b")
 
-    def verified(pairs: DataFrame, name: str) -> DataFrame:
-        """Links among the pairs, by the sets of the documents concerned."""
-        pairs = materialize(fitting(pairs), f"{name}_pairs")
-        rows = pairs.select(F.explode(F.array("a_row", "b_row")).alias("row_key")).distinct()
+    def sets_with(fps: DataFrame, name: str) -> DataFrame:
+        """The sets of the given fingerprints, from one document each."""
+        rows = fps.distinct().join(sketches.select("fp", "row_key"), "fp").select("row_key").distinct()
         near = texts.join(rows.hint("merge"), "row_key", "left_semi").select("text")
-        sets = materialize(sets_of(near, length), f"{name}_sets")
-        return materialize(similar_pairs(pairs.select("a", "b"), sets).distinct(), f"{name}_links")
+        return materialize(sets_of(near, length).dropDuplicates(["fp"]), f"{name}_sets")
+
+    def verified(pairs: DataFrame, name: str, sets: DataFrame | None) -> DataFrame:
+        """Links among the pairs, by their sets."""
+        pairs = materialize(fitting(pairs), f"{name}_pairs")
+        if sets is None:
+            sets = sets_with(pairs.select(F.explode(F.array("a", "b")).alias("fp")), name)
+        return materialize(similar_pairs(pairs, sets).distinct(), f"{name}_links")
 
     buckets = shared.where("NOT large").select("key", "fp", "center").unionByName(
         materialize(with_centers(shared.where("large").select("key", "fp")), "large_buckets")
     )
-    links, labels = None, None
+    links, labels, sets = None, None, None
     while buckets is not None:
         star = apart_from_center(buckets, labels).select(F.col("center").alias("a"), F.col("fp").alias("b"))
-        found = verified(star, "star")
-        links = found if links is None else materialize(links.unionByName(found).distinct(), "links")
-        labels = components(links)
+        links, labels = with_links(links, labels, verified(star, "star", sets))
         # What still lies in different components of one bucket.
         placed = placed_in(buckets, labels)
         sizes = scattered(placed, "key")
         sizes = sizes.select("key", ((F.col("size") > BUCKET) & (F.col("outside") > OUTSIDE)).alias("many"))
         placed = materialize(placed.join(sizes, "key"), "open_buckets")
-        pairs = pairs_of_few(placed.where(~F.col("many")))
+        few = pairs_of_few(placed.where(~F.col("many")))
         many = placed.where("many").select("center", "fp", "component").distinct()
-        buckets = None
+        buckets, here = None, sets
         if not many.isEmpty():
-            inner = many.select("fp").union(many.select(F.col("center").alias("fp"))).distinct()
-            rows = inner.join(sketches.select("fp", "row_key"), "fp").select("row_key").distinct()
-            near = texts.join(rows.hint("merge"), "row_key", "left_semi").select("text")
-            sets = materialize(sets_of(near, length).dropDuplicates(["fp"]), "bucket_sets")
+            if sets is None:
+                # Later rounds have no others than these.
+                sets = sets_with(many.select("fp").union(many.select("center")), "bucket")
             rare = materialize(rare_differences(many, sets), "differences")
-            pairs = pairs.unionByName(pairs_of_differences(rare))
+            links, labels = with_links(links, labels, verified(pairs_of_differences(rare, sketches), "differing", sets))
             buckets = materialize(with_centers(buckets_of_differences(rare)), "buckets")
             buckets = None if buckets.isEmpty() else buckets
-        links = materialize(links.unionByName(verified(pairs, "rest")).distinct(), "links")
-    labels = components(links)
+        links, labels = with_links(links, labels, verified(few, "rest", here))
     owned = members.join(labels.withColumnRenamed("node", "fp"), "fp", "left").withColumn(
         # Blank texts have no set in common with anything: each row is its own group.
         "_group", F.when(F.col("n") > 0, F.coalesce("component", "fp"))

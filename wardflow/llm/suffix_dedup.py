@@ -37,7 +37,9 @@ PIECE = 64
 #: Pieces of a label at most that go to one suffix array whole.
 LABEL_PIECES = 64
 #: Bytes of pieces that a task sorts at a time, and of texts that it labels at a time.
-SORT_BYTES, RUN_BYTES = 1 << 21, 1 << 20
+SORT_BYTES, RUN_BYTES = 1 << 19, 1 << 20
+#: Pieces of a batch that are held to be compared with each other.
+HELD = 50_000
 
 SPANS = "array<struct<begin:int,end:int>>"
 
@@ -318,6 +320,9 @@ def _pieces(length: int):
                     if o != at:
                         data, at = texts[o].as_py().encode(), o
                     found.add(mark, ids[o], versions[o], [s], data[s : s + k + length - 1])
+                if len(found.piece) > HELD:
+                    yield from found.batches()
+                    found = _Pieces()
             yield from found.batches()
 
     return rows
@@ -332,7 +337,7 @@ def _windows(length: int):
     """The windows of pieces by their hashes; ``covered`` where a smaller id of the batch has the same."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (b.slice(i, 2_000) for b in batches for i in range(0, b.num_rows, 2_000)):
             pieces, lists = batch.column("piece").to_pylist(), batch.column("starts")
             offsets = np.append(0, np.cumsum(np.fromiter(map(len, pieces), np.int64, len(pieces))))
             data = np.frombuffer(b"".join(pieces), np.uint8)
@@ -340,7 +345,7 @@ def _windows(length: int):
             # Every window of every place at which a piece begins.
             row = np.repeat(np.arange(len(n)), places)
             at = _counting(n[row])
-            begin = np.repeat(np.asarray(lists.flatten()), n[row]) + at
+            begin = np.repeat(np.asarray(lists.flatten()).astype(np.int64), n[row]) + at
             row = np.repeat(row, n[row])
             first = offsets[row] + at
             hashes = []
@@ -376,8 +381,8 @@ def _covered(length: int):
         waiting: list[pa.RecordBatch] = []
         size = 0
         for batch in batches:
-            for i in range(0, batch.num_rows, 10_000):
-                some = batch.slice(i, 10_000)
+            for i in range(0, batch.num_rows, 2_000):
+                some = batch.slice(i, 2_000)
                 waiting.append(some)
                 size += some.column("piece").nbytes
                 if size < SORT_BYTES:
