@@ -211,7 +211,7 @@ def _labels(length: int):
                 if not len(label):
                     continue
                 of = ids[owner]
-                order = np.lexsort((of, name, label))
+                order = _sorted(label, name, of)
                 label, of, name = label[order], of[order], name[order]
                 new_label = np.append(True, label[1:] != label[:-1])
                 new_name = new_label | np.append(True, name[1:] != name[:-1])
@@ -234,6 +234,16 @@ def _labels(length: int):
     return rows
 
 
+def _sorted(label: np.ndarray, name: np.ndarray, of: np.ndarray) -> np.ndarray:
+    """Order by label, name and id; few labels occur twice, so ties are sorted apart."""
+    order = np.argsort(label, kind="stable")
+    same = label[order[1:]] == label[order[:-1]]
+    tied = np.flatnonzero(np.append(same, False) | np.append(False, same))
+    some = order[tied]
+    order[tied] = some[np.lexsort((of[some], name[some], label[some]))]
+    return order
+
+
 class _Pieces:
     """Pieces of a batch: rows to send, and what equal pieces of smaller ids cover already."""
 
@@ -307,13 +317,13 @@ def _pieces(length: int):
             for kind in ("covered", "open"):
                 lists = batch.column(kind)
                 sizes = np.diff(np.asarray(lists.offsets))
-                wanted[kind] = _pair(np.repeat(np.arange(len(sizes)), sizes), np.asarray(lists.flatten()))
+                wanted[kind] = np.sort(_pair(np.repeat(np.arange(len(sizes)), sizes), np.asarray(lists.flatten())))
             found, data, at = _Pieces(), b"", -1
             for owner, start, n, label, _ in _runs(texts, length):
                 pairs = _pair(owner, label)
                 # A text may have different pieces of a label; then they are compared.
-                compared = np.isin(pairs, wanted["open"])
-                whole = np.isin(pairs, wanted["covered"]) & ~compared
+                compared = _among(pairs, wanted["open"])
+                whole = _among(pairs, wanted["covered"]) & ~compared
                 found.cover(owner[whole], start[whole], (start + n + length - 1)[whole], ids, versions)
                 some = np.flatnonzero(compared)
                 for o, s, k, mark in zip(owner[some].tolist(), start[some].tolist(), n[some].tolist(), label[some].tolist(), strict=True):
@@ -333,6 +343,12 @@ def _pair(owner: np.ndarray, label: np.ndarray) -> np.ndarray:
     return words.mixed(words.mixed(label.view(np.uint64)) + owner.astype(np.uint64))
 
 
+def _among(values: np.ndarray, ascending: np.ndarray) -> np.ndarray:
+    if not len(ascending):
+        return np.zeros(len(values), bool)
+    return ascending[np.minimum(np.searchsorted(ascending, values), len(ascending) - 1)] == values
+
+
 def _windows(length: int):
     """The windows of pieces by their hashes; ``covered`` where a smaller id of the batch has the same."""
 
