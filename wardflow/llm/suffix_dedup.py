@@ -90,9 +90,9 @@ def removed_spans(docs: DataFrame, length: int, label_pieces: int) -> DataFrame:
     labels = shared.groupBy("id").agg(
         *[F.collect_set(F.when(F.col("kind") == k, F.col("label"))).alias(name) for name, k in (("covered", COVERED), ("open", OPEN))]
     )
-    labels = materialize(labels, "shared_labels")
+    labels = _settled(labels, "shared_labels")
     cut = docs.join(labels, "id").select("id", "version", "text", "covered", "open").mapInArrow(_pieces(length), f"{PIECES}, spans {SPANS}")
-    cut = materialize(cut, "pieces")
+    cut = _settled(cut, "pieces")
     spans = [cut.where("piece IS NULL").select("id", "version", "spans")]
     pieces = cut.where("piece IS NOT NULL").drop("spans")
     counts = pieces.groupBy("label").agg(F.count("*").alias("pieces"))
@@ -113,7 +113,15 @@ def removed_spans(docs: DataFrame, length: int, label_pieces: int) -> DataFrame:
     every = spans[0]
     for more in spans[1:]:
         every = every.unionByName(more)
-    return materialize(every, "spans").groupBy("id", "version").agg(F.flatten(F.collect_list("spans")).alias("spans"))
+    return _settled(every, "spans").groupBy("id", "version").agg(F.flatten(F.collect_list("spans")).alias("spans"))
+
+
+def _settled(df: DataFrame, name: str) -> DataFrame:
+    """Write a step. Shuffle files of a finished step go when the driver's JVM finds that nothing
+    refers to them any more; a collection after each keeps them from piling up."""
+    written = materialize(df, name)
+    df.sparkSession.sparkContext._jvm.System.gc()
+    return written
 
 
 #: Of the label of a document: undecided, its piece is equal to one of a smaller id, or must be compared.
