@@ -1,10 +1,14 @@
 """Language-model scoring with a probabilistic suffix tree over bytes.
 
 A text is its lower-cased words, each followed by a space, then an end symbol. The tree
-holds contexts of up to ``DEPTH`` bytes. A context is kept if its next-symbol counts diverge
-from what the next shorter context predicts (by more than ``GAIN`` nats for each symbol
-seen); its distribution is smoothed with that of the shorter one. Every byte is scored in
-the state of the longest kept suffix of what stands before it.
+holds contexts of up to ``DEPTH`` bytes. A context seen ``LEAST_COUNT`` times is kept if its
+next-symbol counts diverge from what the next shorter context predicts (by more than ``GAIN``
+nats for each symbol seen); its distribution is smoothed with that of the shorter one. Every
+byte is scored in the state of the longest kept suffix of what stands before it.
+
+The tree has all such contexts and stays distributed. Tasks get its commonest states, a table
+of bounded size; a state says whether longer ones are left out of the table. Bytes that stand
+in such a state are counted for each text and meet the whole tree in joins.
 """
 
 from __future__ import annotations
@@ -14,7 +18,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -25,15 +29,11 @@ from wardflow.session import materialize
 DEPTH = 5
 LEAST_COUNT = 50
 GAIN = 3.0
-#: Bound of the tree: contexts of most gain are kept (with what leads to them).
-MOST_CONTEXTS = 6_000
-#: Bound of the table of the commonest tokens.
-COMMON_TOKENS = 1 << 16
-SEGMENT = 1024
+#: Bounds of the tables of the commonest tokens and of the next symbols of the commonest states.
+COMMON_TOKENS, COMMON_SYMBOLS = 1 << 16, 1 << 20
 END, SPACE = 0, 32
 
 
-
 def symbols(run: words.Run) -> tuple[np.ndarray, np.ndarray]:
     """Symbols of all texts of a run and where each text begins (NUL in a word counts as 1)."""
     lengths = run.ends - run.starts
@@ -49,8 +49,8 @@ def symbols(run: words.Run) -> tuple[np.ndarray, np.ndarray]:
     return out, bounds
 
 
-def gram_counts(stream: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Contexts of DEPTH bytes with the next symbol, packed into integers, and counts.
+def grams(stream: np.ndarray) -> np.ndarray:
+    """Contexts of DEPTH bytes with the next symbol, packed into integers, for each symbol.
 
     The context of a text's first byte is the end symbol; nothing before it counts.
     """
@@ -62,7 +62,7 @@ def gram_counts(stream: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         byte = padded[DEPTH - k : DEPTH - k + n]
         packed |= np.where(inside, byte, 0).astype(np.uint64) << np.uint64(8 * k)
         inside &= byte != END
-    return np.unique(packed, return_counts=True)
+    return packed
 
 
 def corpus_counts(docs: DataFrame) -> DataFrame:
@@ -73,7 +73,7 @@ def corpus_counts(docs: DataFrame) -> DataFrame:
             for kind in (0, 1):
                 keys, counts = [], []
                 for run in words.runs(batch.column("text"), lower=True):
-                    k, n = np.unique(run.hashes, return_counts=True) if kind == 0 else gram_counts(symbols(run)[0])
+                    k, n = np.unique(run.hashes, return_counts=True) if kind == 0 else np.unique(grams(symbols(run)[0]), return_counts=True)
                     keys.append(k)
                     counts.append(n)
                 if not keys:
@@ -90,91 +90,123 @@ def corpus_counts(docs: DataFrame) -> DataFrame:
     return docs.select("text").mapInArrow(rows, "kind byte, key long, n long").groupBy("kind", "key").agg(F.sum("n").alias("n"))
 
 
+def state_key(d: int, context: np.ndarray) -> np.ndarray:
+    """A number for the last ``d`` bytes of contexts, in the order of d."""
+    return (context & ((1 << (8 * d)) - 1)) | (d << 40)
+
+
 @dataclass
-class Tree:
-    """As an automaton: for state and symbol, log10 probability and following state."""
-
-    scores: np.ndarray
-    following: np.ndarray
-
-    def score(self, stream: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-        """log10 probability of each text. Texts are cut into segments that are scored side by
-        side; as a state depends on DEPTH bytes only, a segment warms up on those before it."""
-        parts = np.maximum(-(-np.diff(bounds) // SEGMENT), 1)
-        owner = np.repeat(np.arange(len(parts)), parts)
-        number = np.arange(len(owner)) - np.repeat(np.cumsum(parts) - parts, parts)
-        begin = bounds[owner] + number * SEGMENT
-        end = np.minimum(begin + SEGMENT, bounds[owner + 1])
-        order = np.argsort(begin - end, kind="stable")
-        begin, end, owner = begin[order], end[order], owner[order]
-        lengths = end - begin
-        state, total = np.zeros(len(begin), np.int64), np.zeros(len(begin))
-        for step in range(-DEPTH, int(lengths.max(initial=0))):
-            live = len(begin) if step < 0 else int(np.searchsorted(-lengths, -step, side="left"))
-            at = begin[:live] + step
-            symbol = np.where(at >= bounds[owner[:live]], stream[np.maximum(at, 0)], END).astype(np.int64)
-            cell = state[:live] * 256 + symbol
-            if step >= 0:
-                total[:live] += self.scores[cell]
-            state[:live] = self.following[cell]
-        return np.bincount(owner, total, len(parts))
-
-
-def kept_contexts(grams: DataFrame) -> tuple[list[tuple[int, int]], DataFrame]:
-    """(length, context) of the contexts that diverge most from the next shorter one; all counts."""
+class Table:
+    """The commonest states by key, with the sum and number of their next symbols and whether
+    all longer states are here too; counts of the symbols by state and symbol."""
+
+    states: np.ndarray
+    totals: np.ndarray
+    kinds: np.ndarray
+    closed: np.ndarray
+    symbols: np.ndarray
+    counts: np.ndarray
+
+    def score(self, packed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """log10 probability of packed grams, and whether it is that of the whole tree."""
+        packed = packed.view(np.int64)
+        context, symbol = packed >> 8, packed & 255
+        p, sure = np.full(len(packed), 1 / 256), np.ones(len(packed), bool)
+        left = np.arange(len(packed))
+        for d in range(DEPTH + 1):
+            key = state_key(d, context[left])
+            at = np.minimum(np.searchsorted(self.states, key), len(self.states) - 1)
+            found = self.states[at] == key
+            left, key, at = left[found], key[found], at[found]
+            cell = (key << 8) | symbol[left]
+            place = np.minimum(np.searchsorted(self.symbols, cell), max(len(self.symbols) - 1, 0))
+            n = np.where(self.symbols[place] == cell, self.counts[place], 0) if len(self.symbols) else 0
+            weight = self.kinds[at] if d else 128
+            p[left] = (n + weight * p[left]) / (self.totals[at] + weight)
+            sure[left] = self.closed[at]
+        return np.log10(p), sure
+
+
+def context_counts(grams: DataFrame) -> DataFrame:
+    """Rows (d, context, next, n): counts of the next symbols of all contexts of up to DEPTH bytes."""
     levels = None
     for d in range(DEPTH + 1):
         context = F.shiftright("key", 8).bitwiseAND(F.lit((1 << (8 * d)) - 1))
         level = grams.select(F.lit(d).alias("d"), context.alias("context"), F.col("key").bitwiseAND(F.lit(255)).alias("next"), "n")
         levels = level if levels is None else levels.union(level)
-    levels = materialize(levels.groupBy("d", "context", "next").agg(F.sum("n").alias("n")), "context_counts")
-    totals = levels.groupBy("d", "context").agg(F.sum("n").alias("total"), F.count("*").alias("kinds"))
+    return materialize(levels.groupBy("d", "context", "next").agg(F.sum("n").alias("n")), "context_counts")
+
+
+def totals_of(levels: DataFrame) -> DataFrame:
+    return levels.groupBy("d", "context").agg(F.sum("n").alias("total"), F.count("*").alias("kinds"))
+
+
+def kept_contexts(levels: DataFrame) -> DataFrame:
+    """Rows (d, context) of the contexts that diverge from the next shorter one."""
+    totals = totals_of(levels)
     rated = levels.join(totals.where(F.col("total") >= LEAST_COUNT), ["d", "context"])
     upper = levels.join(totals, ["d", "context"]).select(
         (F.col("d") + 1).alias("d"), F.col("context").alias("shorter"), "next", (F.log("n") - F.log("total")).alias("expected")
     )
     shorter = F.expr("context & (shiftleft(1L, 8 * (d - 1)) - 1)")
     gain = F.sum(F.col("n") * (F.log("n") - F.log("total") - F.col("expected")))
-    found = (
+    return (
         rated.where("d > 0").withColumn("shorter", shorter).join(upper, ["d", "shorter", "next"])
         .groupBy("d", "context").agg(gain.alias("gain"), F.first("kinds").alias("kinds"))
-        .where(F.col("gain") > GAIN * F.col("kinds"))
-        .orderBy(F.round("gain", 3).desc(), "d", "context").limit(MOST_CONTEXTS)
+        .where(F.col("gain") > GAIN * F.col("kinds")).select("d", "context")
     )
-    return [(r["d"], r["context"]) for r in found.collect()], levels
-
-
-def fit(grams: DataFrame) -> Tree:
-    """The tree for counted grams (key, n)."""
-    chosen, levels = kept_contexts(grams)
-    states = {(0, 0)}
-    for d, context in chosen:
-        # Every part of a kept context is a state, so that the automaton can always follow.
-        for a in range(d + 1):
-            for b in range(d - a + 1):
-                states.add((b, (context >> (8 * a)) & ((1 << (8 * b)) - 1)))
-    order = sorted(states)
-    number = {s: i for i, s in enumerate(order)}
-    spark = grams.sparkSession
-    wanted = spark.createDataFrame([(d, c, i) for (d, c), i in number.items()], "d int, context long, state int")
-    counts = np.zeros((len(order), 256))
-    for r in levels.join(F.broadcast(wanted), ["d", "context"]).select("state", "next", "n").collect():
-        counts[r["state"], r["next"]] = r["n"]
-    p, following = np.empty_like(counts), np.zeros(counts.shape, np.int32)
-    for i, (d, context) in enumerate(order):
-        if d == 0:
-            p[i] = (counts[i] + 0.5) / (counts[i].sum() + 128)
-            following[i] = [number.get((1, s), 0) for s in range(256)]
-            continue
-        up = number[(d - 1, context & ((1 << (8 * (d - 1))) - 1))]
-        kinds = max((counts[i] > 0).sum(), 1)
-        p[i] = (counts[i] + kinds * p[up]) / (counts[i].sum() + kinds)
-        following[i] = following[up]
-        for s in range(256):
-            longer = number.get((d + 1, (context << 8) | s))
-            if longer is not None:
-                following[i, s] = longer
-    return Tree(np.log10(p).ravel(), following.ravel())
+
+
+def tree_states(levels: DataFrame) -> DataFrame:
+    """Rows (d, context, total, kinds, size): the states of the tree.
+
+    Every part of a kept context is a state. ``size`` grows with the total; no state has more
+    than the shorter ones that end it.
+    """
+    parts = "flatten(transform(sequence(0, d), a -> transform(sequence(0, d - a), b -> {part})))"
+    part = "struct(b AS d, shiftright(context, 8 * a) & (shiftleft(1L, 8 * b) - 1) AS context)"
+    states = kept_contexts(levels).select(F.explode(F.expr(parts.format(part=part))).alias("_x")).select("_x.*")
+    root = levels.sparkSession.range(1).select(F.lit(0).alias("d"), F.lit(0).cast("long").alias("context"))
+    states = states.union(root).distinct().join(totals_of(levels), ["d", "context"])
+    return materialize(states.withColumn("size", F.floor(16 * F.log2("total")).cast("int")), "tree_states")
+
+
+def common_table(levels: DataFrame, states: DataFrame) -> Table:
+    """The states of the largest sizes, as many as the bound allows."""
+    least, so_far = None, 0
+    for r in states.groupBy("size").agg(F.sum("kinds").alias("kinds")).orderBy(F.col("size").desc()).collect():
+        so_far += r["kinds"]
+        if least is not None and so_far > COMMON_SYMBOLS:
+            break
+        least = r["size"]
+    if least is None:
+        # Nothing to learn from: the root alone, where all symbols are equally likely.
+        none = np.empty(0, np.int64)
+        return Table(np.zeros(1, np.int64), np.zeros(1, np.int64), np.zeros(1, np.int64), np.ones(1, bool), none, none)
+    key = F.col("context").bitwiseOR(F.shiftleft(F.col("d").cast("long"), 40)).alias("key")
+    common = states.where(F.col("size") >= least)
+    above = states.where(F.col("size") < least).select(
+        (F.col("d") - 1).alias("d"), F.expr("context & (shiftleft(1L, 8 * (d - 1)) - 1)").alias("context")
+    )
+    held = common.join(above.distinct().withColumn("open", F.lit(True)), ["d", "context"], "left").select(
+        key, "total", "kinds", F.col("open").isNull().alias("closed")
+    ).toArrow().sort_by("key")
+    cell = F.shiftleft(key, 8).bitwiseOR(F.col("next")).alias("cell")
+    cells = levels.join(common.select("d", "context"), ["d", "context"]).select(cell, "n").toArrow().sort_by("cell")
+    return Table(*[held.column(c).to_numpy() for c in ("key", "total", "kinds", "closed")], *[cells.column(c).to_numpy() for c in ("cell", "n")])
+
+
+def gram_scores(wanted: DataFrame, levels: DataFrame, states: DataFrame) -> DataFrame:
+    """Rows (key, value): log10 probability of packed grams (key) by the whole tree."""
+    each = wanted.select("key", F.explode(F.sequence(F.lit(0), F.lit(DEPTH))).alias("d")).select(
+        "key", "d", F.expr("shiftright(key, 8) & (shiftleft(1L, 8 * d) - 1)").alias("context"), F.expr("key & 255").alias("next")
+    )
+    found = each.join(states.select("d", "context", "total", "kinds"), ["d", "context"]).join(levels, ["d", "context", "next"], "left")
+    step = F.struct("d", "total", F.when(F.col("d") > 0, F.col("kinds")).otherwise(128).alias("weight"), F.coalesce("n", F.lit(0)).alias("n"))
+    p = F.aggregate(
+        F.sort_array(F.collect_list(step)), F.lit(1 / 256), lambda p, x: (x["n"] + x["weight"] * p) / (x["total"] + x["weight"])
+    )
+    return found.groupBy("key").agg(F.log10(p).alias("value"))
 
 
 @keeps_columns("text", new=("n_tokens", "n_known", "train_tokens", "base_score", "score"), dropped=("text",))
@@ -196,7 +228,9 @@ def score_texts(docs: DataFrame, training: DataFrame) -> DataFrame:
     ends = training.count()
     held = vocabulary.agg(F.sum("n").alias("n"), F.count("*").alias("v")).first()
     tokens, kinds = (held["n"] or 0) + ends, held["v"] + (1 if ends else 0)
-    tree = fit(counted.where("kind = 1").select("key", "n"))
+    levels = context_counts(counted.where("kind = 1").select("key", "n"))
+    states = tree_states(levels)
+    tree = common_table(levels, states)
     common = vocabulary.orderBy(F.col("n").desc(), "key").limit(COMMON_TOKENS).collect()
     table = np.array(sorted((r["key"], r["n"]) for r in common), np.int64).reshape(-1, 2)
     known_hashes, known_counts = table[:, 0], table[:, 1]
@@ -218,6 +252,15 @@ def score_texts(docs: DataFrame, training: DataFrame) -> DataFrame:
                 starts = np.flatnonzero((np.diff(o, prepend=-1) != 0) | (np.diff(x, prepend=0) != 0))
                 times = np.diff(np.append(starts, len(o))).astype(np.int32)
                 offsets = pa.array(np.searchsorted(o[starts], np.arange(n + 1)).astype(np.int32))
+                # Scores of different symbols in their contexts; what longer states may change is left open.
+                stream, ends_at = symbols(run)
+                packed, inverse = np.unique(grams(stream), return_inverse=True)
+                value, sure = tree.score(packed)
+                writer = np.repeat(np.arange(n), np.diff(ends_at))
+                score = np.bincount(writer, np.where(sure, value, 0.0)[inverse], n)
+                open_at = np.flatnonzero(~sure[inverse])
+                pair, seen = np.unique(writer[open_at] * len(packed) + inverse[open_at], return_counts=True)
+                open_offsets = pa.array(np.searchsorted(pair // len(packed), np.arange(n + 1)).astype(np.int32))
                 own_rows = batch.slice(run.first, n)
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -225,40 +268,54 @@ def score_texts(docs: DataFrame, training: DataFrame) -> DataFrame:
                         pa.array((np.diff(run.bounds) + 1).astype(np.int64)),
                         pa.array(common_tokens.astype(np.int64)),
                         pa.array(base),
-                        pa.array(tree.score(*symbols(run))),
+                        pa.array(score),
                         pa.ListArray.from_arrays(offsets, pa.array(x[starts])),
                         pa.ListArray.from_arrays(offsets, pa.array(times)),
+                        pa.ListArray.from_arrays(open_offsets, pa.array(packed[pair % len(packed)].view(np.int64))),
+                        pa.ListArray.from_arrays(open_offsets, pa.array(seen.astype(np.int32))),
                     ],
                     names=schema.names,
                 )
 
     keyed = docs.select("text", F.xxhash64(*docs.columns).alias("_row"), *keep)
     added = StructType.fromDDL(
-        "n_tokens long, _common long, _base double, score double, _rare array<long>, _times array<int>"
+        "n_tokens long, _common long, _base double, _score double, _rare array<long>, _times array<int>, _open array<long>, _symbols array<int>"
     )
     schema = StructType(keyed.schema.fields[1:] + added.fields)
     partial = materialize(keyed.mapInArrow(rows, schema), "partial_scores")
+    def spread(keys: str, times: str) -> DataFrame:
+        return partial.select("_row", F.explode(F.arrays_zip(keys, times)).alias("_x")).select(
+            "_row", F.col(f"_x.{keys}").alias("key"), F.col(f"_x.{times}").alias("_n")
+        )
+
     # Rare tokens meet their counts in a join; each document's tokens are counted first.
-    spread = partial.select("_row", F.explode(F.arrays_zip("_rare", "_times")).alias("_x")).select(
-        "_row", F.col("_x._rare").alias("key"), F.col("_x._times").alias("_times")
-    )
     value = F.log10((F.coalesce("n", F.lit(0)) + 0.5) / F.lit(below))
     summed = (
-        spread.join(vocabulary, "key", "left").groupBy("_row")
+        spread("_rare", "_times").join(vocabulary, "key", "left").groupBy("_row")
         .agg(
-            F.sum(value * F.col("_times")).alias("_sum"),
-            F.sum(F.when(F.col("n").isNotNull(), F.col("_times")).otherwise(0)).alias("_seen"),
-            F.sum("_times").alias("_all"),
+            F.sum(value * F.col("_n")).alias("_sum"),
+            F.sum(F.when(F.col("n").isNotNull(), F.col("_n")).otherwise(0)).alias("_seen"),
+            F.sum("_n").alias("_all"),
         )
     )
+    # So do symbols in states that the table of common ones leaves open.
+    left_open = spread("_open", "_symbols")
+    rest = (
+        left_open.join(gram_scores(left_open.select("key").distinct(), levels, states), "key").groupBy("_row")
+        .agg(F.sum(F.col("value") * F.col("_n")).alias("_rest"), F.sum("_n").alias("_all_open"))
+    )
+
     # Rows that are equal in all columns share a key; each takes its share of the sums.
-    own_rare = F.aggregate("_times", F.lit(0).cast("long"), lambda t, x: t + x)
-    share = F.coalesce(own_rare / F.col("_all"), F.lit(0.0))
-    return partial.drop("_rare").join(summed, "_row", "left").select(
+    def share(times: str, of: str) -> Column:
+        own = F.aggregate(times, F.lit(0).cast("long"), lambda t, x: t + x)
+        return F.coalesce(own / F.col(of), F.lit(0.0))
+
+    rare = share("_times", "_all")
+    return partial.drop("_rare", "_open").join(summed, "_row", "left").join(rest, "_row", "left").select(
         *keep,
         "n_tokens",
-        (F.col("_common") + F.round(F.coalesce("_seen", F.lit(0)) * share)).cast("long").alias("n_known"),
+        (F.col("_common") + F.round(F.coalesce("_seen", F.lit(0)) * rare)).cast("long").alias("n_known"),
         F.lit(tokens).cast("long").alias("train_tokens"),
-        (F.col("_base") + F.coalesce("_sum", F.lit(0.0)) * share).alias("base_score"),
-        "score",
+        (F.col("_base") + F.coalesce("_sum", F.lit(0.0)) * rare).alias("base_score"),
+        (F.col("_score") + F.coalesce("_rest", F.lit(0.0)) * share("_symbols", "_all_open")).alias("score"),
     )
