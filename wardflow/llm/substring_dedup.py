@@ -1,10 +1,10 @@
-"""Removal of long repeated passages, found by difference-cover anchors.
+"""Removal of long repeated passages, found by minimal hashes.
 
-A difference cover D modulo v has, for every difference, two members that far apart. So
-for any two places p and q there is a shift below v that brings both to cover positions
-(p + shift and q + shift modulo v lie in D). Short windows of ``length - v + 1`` words are
-hashed at cover positions only; two equal passages of ``length`` words then share one of
-these anchors. Around anchors that occur twice, the long windows are hashed and compared.
+The anchor of a window of ``length`` words is, of the shorter windows in it, the first one of
+least hash. Equal windows have equal anchors in the same place, and neighbouring windows mostly
+share theirs. Anchors are compared first. The windows of an anchor that occurs twice are
+neighbours and travel as one row, which the anchor brings together with the others; there the
+windows are compared one by one.
 """
 
 from __future__ import annotations
@@ -19,17 +19,37 @@ from pyspark.sql import functions as F
 
 from wardflow.llm import words
 from wardflow.llm.columns import keeps_columns
+from wardflow.session import materialize
 
 LENGTH = 20
 
-# Perfect difference sets by period.
-COVERS = {1: (0,), 3: (0, 1), 7: (0, 1, 3), 13: (0, 1, 3, 9), 21: (0, 1, 4, 14, 16), 31: (0, 1, 3, 8, 12, 18)}
+#: Anchors known to occur this often are common ones: each of their windows travels alone.
+CROWD = 1_000
+#: Bound of the table of common anchors.
+COMMON = 1 << 16
 
 
-def cover_for(length: int) -> tuple[int, tuple[int, ...]]:
-    """Period and cover: the sparsest that leaves anchors a third of ``length`` long."""
-    period = max(v for v in COVERS if v == 1 or length - v + 1 >= max(2, -(-length // 3)))
-    return period, COVERS[period]
+def anchored(run: words.Run, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of a run's anchors by place, and for every window of ``length`` words the place of
+    its anchor there, its text and the anchor's first word in that text."""
+    size = length // 2 + 1
+    hashes, bounds = run.grams(size)
+    n = np.maximum(np.diff(run.bounds) - length + 1, 0)
+    text = np.repeat(np.arange(len(run)), n)
+    begin = np.arange(len(text)) - np.repeat(np.cumsum(n) - n, n) + bounds[text]
+    at = begin.copy()
+    for k in range(1, length - size + 1):
+        at = np.where(hashes[begin + k] < hashes[at], begin + k, at)
+    return hashes >> np.uint64(1), at, text, at - bounds[text]
+
+
+def changes(*columns: np.ndarray) -> np.ndarray:
+    """Whether a row differs from the one before it."""
+    out = np.zeros(len(columns[0]), bool)
+    out[:1] = True
+    for c in columns:
+        out[1:] |= c[1:] != c[:-1]
+    return out
 
 
 def _batch(*columns: tuple[str, np.ndarray]) -> pa.RecordBatch:
@@ -43,22 +63,17 @@ def anchors(docs: DataFrame, length: int) -> DataFrame:
     tells others so, and its places are sent under hashes of their own, marked ``known``.
     That way a very common passage sends one row from each batch to its common hash.
     """
-    period, cover = cover_for(length)
-    size = length - period + 1
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys = np.asarray(batch.column("row_key"))
             found, owners, places = [], [], []
             for run in words.runs(batch.column("text"), lower=False):
-                grams, bounds = run.grams(size)
-                at = np.arange(len(grams)) - np.repeat(bounds[:-1], np.diff(bounds))
-                # No anchor is of use in a text that has no window of full length.
-                long_enough = np.repeat(np.diff(run.bounds) >= length, np.diff(bounds))
-                chosen = np.isin(at % period, cover) & long_enough
-                found.append(grams[chosen] >> np.uint64(16))
-                owners.append(np.repeat(keys[run.first : run.first + len(run)], np.diff(bounds))[chosen])
-                places.append(at[chosen].astype(np.int32))
+                hashes, at, text, place = anchored(run, length)
+                new = changes(at)
+                found.append(hashes[at[new]])
+                owners.append(keys[run.first + text[new]])
+                places.append(place[new].astype(np.int32))
             if not found or not sum(map(len, found)):
                 continue
             h, owner, place = np.concatenate(found).view(np.int64), np.concatenate(owners), np.concatenate(places)
@@ -87,14 +102,33 @@ def repeated_places(found: DataFrame) -> DataFrame:
     )
 
 
-def long_windows(docs: DataFrame, length: int) -> DataFrame:
-    """Rows (window, check, doc_id, order) for windows around repeated anchors.
+def common_anchors(docs: DataFrame, length: int) -> np.ndarray:
+    """Anchors that batches have many times, sorted; which ones are named only matters for speed."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [np.empty(0, np.uint64)]
+            for run in words.runs(batch.column("text"), lower=False):
+                hashes, at, _, _ = anchored(run, length)
+                found.append(hashes[at[changes(at)]])
+            h, n = np.unique(np.concatenate(found), return_counts=True)
+            often = n >= 8
+            yield _batch(("anchor", h[often].view(np.int64)), ("n", n[often].astype(np.int64)))
+
+    counted = docs.select("text").mapInArrow(rows, "anchor long, n long").groupBy("anchor").agg(F.sum("n").alias("n"))
+    top = counted.where(F.col("n") >= CROWD).orderBy(F.col("n").desc(), "anchor").limit(COMMON).collect()
+    return np.array(sorted(r["anchor"] for r in top), np.int64)
+
 
-    ``window`` and ``check`` are 127 bits of hashes of a window's words. Of equal windows of a batch the earliest goes to the common hash; the others are
-    later ones for sure and are sent under hashes of their own (negative, as above).
-    ``order`` holds 31 bits of the text's hash, which tell rows of one id apart, and the place.
+def long_windows(docs: DataFrame, length: int, common: np.ndarray) -> DataFrame:
+    """Rows (key, doc_id, order, windows): consecutive windows of a text that have a repeated anchor.
+
+    ``key`` and a member of ``windows`` are 127 bits of hashes that tell windows apart: the key is
+    the anchor's hash, or the window's own where the anchor is a common one. Of equal windows of a
+    batch the earliest goes to the common key; the others are later ones for sure and are sent
+    under keys of their own (negative, as above). ``order`` holds 31 bits of the text's hash, which
+    tell rows of one id apart, and the place of the first window.
     """
-    period, _ = cover_for(length)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -104,40 +138,49 @@ def long_windows(docs: DataFrame, length: int) -> DataFrame:
             lists = batch.column("places")
             parts = []
             for run in words.runs(batch.column("text"), lower=False):
+                hashes, at, text, place = anchored(run, length)
+                own = lists.slice(run.first, len(run))
+                owners = np.repeat(np.arange(len(run)), np.diff(np.asarray(own.offsets)))
+                repeated = (owners << 32) | np.asarray(own.flatten())
+                near = np.flatnonzero(np.isin((text << 32) | place, repeated))
+                if not len(near):
+                    continue
                 grams, bounds = run.grams(length)
                 others, _ = run.grams(length, words.OTHER_FACTOR)
-                for i in range(len(run)):
-                    n = bounds[i + 1] - bounds[i]
-                    if n <= 0:
-                        continue
-                    places = np.asarray(lists[run.first + i].values)
-                    near = np.zeros(n + period + 1, np.int32)
-                    np.add.at(near, np.clip(places - period + 1, 0, n), 1)
-                    np.add.at(near, np.clip(places + 1, 0, n), -1)
-                    at = np.flatnonzero(np.cumsum(near)[:n])
-                    owner = np.full(len(at), run.first + i)
-                    parts.append((grams[bounds[i] + at] >> np.uint64(1), others[bounds[i] + at], owner, order_key[owner] + at))
+                owner, anchor = run.first + text[near], hashes[at[near]].view(np.int64)
+                alone = np.isin(anchor, common)
+                key = np.where(alone, (grams[near] >> np.uint64(1)).view(np.int64), anchor)
+                order = order_key[owner] + near - bounds[text[near]]
+                parts.append((key, others[near].view(np.int64), owner, order, at[near], alone))
             if not parts:
                 continue
-            h, check, owner, order = (np.concatenate(x) for x in zip(*parts, strict=True))
-            sort = np.lexsort((order, order_ids[owner], check, h))
-            h, check, owner, order = h[sort].view(np.int64), check[sort].view(np.int64), owner[sort], order[sort]
-            later = np.append(False, (h[1:] == h[:-1]) & (check[1:] == check[:-1]))
-            first = np.maximum.accumulate(np.where(~later, np.arange(len(h)), 0))
+            key, window, owner, order, at, alone = (np.concatenate(x) for x in zip(*parts, strict=True))
+            sort = np.lexsort((order, order_ids[owner], window, key))
+            first = np.maximum.accumulate(np.where(changes(key[sort], window[sort]), np.arange(len(sort)), 0))
+            earliest = np.empty(len(sort), np.int64)
+            earliest[sort] = sort[first]
             # The same row twice in a batch is the same document, not a later one.
-            twice = later & (order_ids[owner] == order_ids[owner[first]]) & (order == order[first])
-            own = words.mixed(words.mixed(order_ids[owner].view(np.uint64)) + order.view(np.uint64))
-            h = np.where(later, (own | np.uint64(1 << 63)).view(np.int64), h)[~twice]
-            check, owner, order = check[~twice], owner[~twice], order[~twice]
-            for i in range(0, len(h), 100_000):
+            same = (order_ids[owner] == order_ids[owner[earliest]]) & (order == order[earliest])
+            later = ~same
+            stays = later | (earliest == np.arange(len(sort)))
+            key, window, owner, order, at, alone, later = (x[stays] for x in (key, window, owner, order, at, alone, later))
+            # A row ends where the text, the anchor or the kind of window changes, or a place is left out.
+            begins = np.flatnonzero(changes(owner, at, later, order - np.arange(len(order))) | alone)
+            own = words.mixed(words.mixed(order_ids[owner[begins]].view(np.uint64)) + order[begins].view(np.uint64))
+            key = np.where(later[begins], (own | np.uint64(1 << 63)).view(np.int64), key[begins])
+            window = np.where(later, 0, window)
+            ends = np.append(begins[1:], len(order))
+            for i in range(0, len(begins), 20_000):
+                part = slice(i, i + 20_000)
+                offsets = np.append(begins[part], ends[part][-1])
                 yield _batch(
-                    ("window", h[i : i + 100_000]),
-                    ("check", check[i : i + 100_000]),
-                    ("doc_id", ids.take(pa.array(owner[i : i + 100_000]))),
-                    ("order", order[i : i + 100_000]),
+                    ("key", key[part]),
+                    ("doc_id", ids.take(pa.array(owner[begins[part]]))),
+                    ("order", order[begins[part]]),
+                    ("windows", pa.ListArray.from_arrays(pa.array((offsets - offsets[0]).astype(np.int32)), pa.array(window[offsets[0] : offsets[-1]]))),
                 )
 
-    return docs.mapInArrow(rows, "window long, check long, doc_id long, order long")
+    return docs.mapInArrow(rows, "key long, doc_id long, order long, windows array<long>")
 
 
 def order_key(text: str) -> Column:
@@ -147,11 +190,14 @@ def order_key(text: str) -> Column:
 
 def removed_starts(windows: DataFrame) -> DataFrame:
     """Rows (doc_id, order_key, starts): windows of a document that start earlier somewhere."""
-    earliest = Window.partitionBy("window", "check").orderBy(F.col("doc_id").asc_nulls_first(), "order")
+    # Rows of several windows are dealt out before they are taken apart.
+    each = windows.repartition("key").select("key", "doc_id", "order", F.posexplode("windows").alias("_nth", "window"))
+    each = each.select("key", "window", "doc_id", (F.col("order") + F.col("_nth")).alias("order"))
+    earliest = Window.partitionBy("key", "window").orderBy(F.col("doc_id").asc_nulls_first(), "order")
     first = F.first(F.struct("doc_id", "order")).over(earliest)
     return (
-        windows.withColumn("_first", first)
-        .where("window < 0 OR NOT (_first.doc_id <=> doc_id) OR _first.order <> order")
+        each.withColumn("_first", first)
+        .where("key < 0 OR NOT (_first.doc_id <=> doc_id) OR _first.order <> order")
         .groupBy("doc_id", F.col("order").bitwiseAND(F.lit(-(1 << 32))).alias("order_key"))
         .agg(F.collect_set(F.col("order").bitwiseAND(F.lit((1 << 32) - 1)).cast("int")).alias("starts"))
     )
@@ -159,9 +205,10 @@ def removed_starts(windows: DataFrame) -> DataFrame:
 
 def repeated_windows(docs: DataFrame, *, length: int = LENGTH) -> DataFrame:
     """Rows (doc_id, order_key, starts) for ``docs`` (row_key, doc_id, text, others)."""
-    places = repeated_places(anchors(docs, length))
+    places = materialize(repeated_places(anchors(docs, length)), "repeated_places")
     near = docs.join(places.hint("merge"), "row_key").withColumn("order_key", order_key("text"))
-    return removed_starts(long_windows(near.select("doc_id", "order_key", "text", "places"), length))
+    common = common_anchors(docs, length)
+    return removed_starts(long_windows(near.select("doc_id", "order_key", "text", "places"), length, common))
 
 
 @keeps_columns("doc_id", "text", new=("n_words", "n_removed", "kept", "removed_spans"))
