@@ -111,3 +111,13 @@ def test_large_buckets_lose_no_link(spark, monkeypatch, bucket):
     frame = spark.createDataFrame(rows, "doc_id long, text string")
     got = {r.doc_id: r.component_id for r in jaccard_join.jaccard_groups(frame).collect()}
     assert got == least
+
+
+def test_centers_are_found_without_a_join_of_sets(spark):
+    """The set in most buckets is a bucket's centre, the larger fingerprint among equals."""
+    rows = [("k1", 1), ("k1", 2), ("k2", 2), ("k2", 3), ("k3", 3), ("k3", 2), ("k4", 4), ("k4", 5)]
+    buckets = spark.createDataFrame(rows, "key string, fp long")
+    found = jaccard_join.with_centers(buckets)
+    center = {"k1": 2, "k2": 2, "k3": 2, "k4": 5}
+    assert sorted(map(tuple, found.collect())) == sorted((k, fp, center[k]) for k, fp in rows)
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("Join ") == 1

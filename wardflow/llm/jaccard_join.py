@@ -258,8 +258,9 @@ def with_centers(buckets: DataFrame) -> DataFrame:
 
     An original shares more with its edited copies than they do with each other.
     """
-    degree = buckets.groupBy("fp").agg(F.count("*").alias("_degree"))
-    best = buckets.join(degree, "fp").groupBy("key").agg(F.max(F.struct("_degree", "fp"))["fp"].alias("center"))
+    # A set has a bounded number of keys, so it is no large group.
+    degree = buckets.withColumn("_degree", F.count("*").over(Window.partitionBy("fp")))
+    best = degree.groupBy("key").agg(F.max(F.struct("_degree", "fp"))["fp"].alias("center"))
     return buckets.join(best, "key").select("key", "fp", "center")
 
 
@@ -332,6 +333,8 @@ def pairs_of_differences(rare: DataFrame, sketches: DataFrame) -> DataFrame:
     """
     some = rare.join(_crowded(rare).where("NOT many").select("center", "gram"), ["center", "gram"])
     some = some.join(sketches.select("fp", F.col("n").alias("_n"), F.col("parity").alias("_bits")), "fp")
+    # Both sides of the pairs read these rows.
+    some = materialize(some, "shared_differences")
     names = {"fp": "", "component": "_in", "n_grams": "_apart", "_n": "_n", "_bits": "_bits"}
     a, b = (some.select("center", "gram", "indexed", *[F.col(c).alias(f"_{side}{end}") for c, end in names.items()]) for side in "ab")
     # The set that differs less from the centre is the one that is indexed.
