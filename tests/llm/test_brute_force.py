@@ -121,3 +121,38 @@ def test_centers_are_found_without_a_join_of_sets(spark):
     center = {"k1": 2, "k2": 2, "k3": 2, "k4": 5}
     assert sorted(map(tuple, found.collect())) == sorted((k, fp, center[k]) for k, fp in rows)
     assert found._jdf.queryExecution().optimizedPlan().toString().count("Join ") == 1
+
+
+def test_buckets_of_the_same_sets_get_one_center(spark):
+    """A centre's sets move to the centre that at least half of them have as their widest, within one parent."""
+    sets = {1: range(1, 11), 2: [2, 3, 4, 11], 20: range(20, 26), 5: [5, 30, 31], 11: [2, 11, 12, 13, 14]}
+    rows = [(f"k{c}", fp, c, old) for old in (7, 8) for c, fps in sets.items() if old == 7 or c != 1 for fp in fps]
+    buckets = spark.createDataFrame(rows, "key string, fp long, center long, old long")
+    found = jaccard_join.with_fewer_centers(buckets, "old")
+    # Among the sets of 8 there is no bucket of 1: those of 2 are divided between it and 11.
+    moved = {(2, 7): 1, (2, 8): 11}
+    widest = {(c, old): moved.get((c, old), c) for _, _, c, old in rows}
+    assert sorted(map(tuple, found.collect())) == sorted((key, fp, widest[c, old]) for key, fp, c, old in rows)
+
+
+def test_next_center_differs_least_from_the_old_one(spark):
+    rows = [("k1", 1, 30, 9), ("k1", 2, 12, 9), ("k1", 3, 12, 9), ("k2", 1, 30, 9), ("k2", 4, 31, 9)]
+    found = jaccard_join.with_nearest_centers(spark.createDataFrame(rows, "key string, fp long, n_grams int, old long"))
+    center = {"k1": 2, "k2": 1}
+    assert sorted(map(tuple, found.collect())) == sorted((key, fp, center[key], 9) for key, fp, _, _ in rows)
+
+
+def test_a_set_goes_to_few_centers(spark, monkeypatch):
+    """Differences are made once or so for each set of a large group of near copies, not for each bucket's centre."""
+    for bound in ("BUCKET", "OUTSIDE", "CROWD"):
+        monkeypatch.setattr(jaccard_join, bound, 3)
+    made, make = [], jaccard_join.rare_differences
+
+    def counted(members, sets):
+        made.append((members.count(), members.select("fp").distinct().count()))
+        return make(members, sets)
+
+    monkeypatch.setattr(jaccard_join, "rare_differences", counted)
+    jaccard_join.jaccard_groups(spark.createDataFrame(families(4), "doc_id long, text string")).count()
+    rows, sets = made[0]
+    assert sets > 50 and rows < 1.5 * sets

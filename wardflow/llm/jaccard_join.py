@@ -26,6 +26,8 @@ Pairs that the stars leave in different components are taken up again:
   indexed, d / 2 + 1 of the smaller and d + 1 of the larger one (any two orders that agree will
   do); a common one makes the pair a candidate. A member that again very many sets have is a
   bucket of its own with a centre of its own, and so on: every round takes its centres out.
+  Buckets of largely the same sets share one centre, so a set's difference is made once or so
+  and not for every bucket it is in.
 
 Candidates are verified on the sets themselves.
 """
@@ -264,6 +266,39 @@ def with_centers(buckets: DataFrame) -> DataFrame:
     return buckets.join(best, "key").select("key", "fp", "center")
 
 
+def with_nearest_centers(buckets: DataFrame) -> DataFrame:
+    """Rows (key, fp, center, old): the centre is the set that differs least from the ``old`` one.
+
+    What all sets of such a bucket have and the old centre lacks, or the other way round, the new
+    centre shares with them; of what it has besides, each set's difference grows, so it is to be little.
+    """
+    best = buckets.groupBy("key").agg(F.min(F.struct("n_grams", "fp"))["fp"].alias("center"))
+    return buckets.join(best, "key").select("key", "fp", "center", "old")
+
+
+def with_fewer_centers(buckets: DataFrame, *within: str) -> DataFrame:
+    """Rows (key, fp, center): buckets of largely the same sets get one centre.
+
+    A set goes to each centre of its buckets, which costs its whole difference each time. The sets
+    of a centre move on to the one that most of them have as their widest. Any set will do as a
+    centre, also one from outside a bucket, as long as it is verified with each of the sets. Only
+    centres that stay take others in, so they keep being one of their own sets, and only centres of
+    equal ``within`` meet.
+    """
+    members = buckets.select(*within, "center", "fp").distinct()
+    sizes = members.groupBy(*within, "center").agg(F.count("*").alias("_size"))
+    # A set has a bounded number of keys, so it is no large group.
+    widest = Window.partitionBy(*within, "fp").orderBy(F.col("_size").desc(), "center")
+    sized = members.join(sizes, [*within, "center"]).withColumn("_widest", F.first("center").over(widest))
+    votes = sized.groupBy(*within, "center", "_size", "_widest").agg(F.count("*").alias("_votes"))
+    best = votes.groupBy(*within, "center", "_size").agg(F.max(F.struct("_votes", "_widest")).alias("_best"))
+    moves = (F.col("_best._widest") != F.col("center")) & (F.col("_best._votes") * 2 >= F.col("_size"))
+    best = materialize(best.select(*within, "center", F.when(moves, F.col("_best._widest")).alias("_to")), "centers")
+    stay = best.where("_to IS NULL").select(*within, F.col("center").alias("_to"))
+    moved = best.join(stay, [*within, "_to"])
+    return buckets.join(moved, [*within, "center"], "left").select("key", "fp", F.coalesce("_to", "center").alias("center"))
+
+
 def placed_in(buckets: DataFrame, labels: DataFrame) -> DataFrame:
     """Add ``component``; a set without links is its own."""
     of_set = labels.select(F.col("node").alias("fp"), F.col("component").alias("_own"))
@@ -309,10 +344,14 @@ def rare_differences(members: DataFrame, sets: DataFrame) -> DataFrame:
     )
     grams = apart.select("center", "fp", "component", "_n", F.size("_apart").alias("n_grams"), F.explode("_apart").alias("gram"))
     grams = materialize(grams, "difference_grams")
-    counts = grams.groupBy("center", "gram").agg(F.count("*").alias("_often"))
-    by_count = Window.partitionBy("center", "fp").orderBy("_often", "gram")
-    ranked = grams.join(counts, ["center", "gram"]).withColumn("_rank", F.row_number().over(by_count))
-    return ranked.where(f"_often > 1 AND _rank <= {most} + 1").select(
+    # What one set alone has comes first in the order and meets nobody: it is only counted.
+    counts = grams.groupBy("center", "gram").agg(F.count("*").alias("_often")).where("_often > 1")
+    of_set = Window.partitionBy("center", "fp")
+    alone = F.col("n_grams") - F.count("*").over(of_set)
+    ranked = grams.join(counts, ["center", "gram"]).withColumn(
+        "_rank", alone + F.row_number().over(of_set.orderBy("_often", "gram"))
+    )
+    return ranked.where(f"_rank <= {most} + 1").select(
         "center", "gram", "fp", "component", "n_grams", (F.col("_rank") <= F.expr(f"{most} div 2 + 1")).alias("indexed")
     )
 
@@ -346,9 +385,14 @@ def pairs_of_differences(rare: DataFrame, sketches: DataFrame) -> DataFrame:
 
 
 def buckets_of_differences(rare: DataFrame) -> DataFrame:
-    """Rows (key, fp) of members that very many sets have: buckets of the next round."""
+    """Rows (key, fp, n_grams, old) of members that very many sets have: buckets of the next round.
+
+    ``old``: the centre that ``n_grams`` members are different from.
+    """
     many = _crowded(rare).where("many").select("center", "gram")
-    return rare.join(many, ["center", "gram"]).select(F.xxhash64("center", "gram").alias("key"), "fp")
+    return rare.join(many, ["center", "gram"]).select(
+        F.xxhash64("center", "gram").alias("key"), "fp", "n_grams", F.col("center").alias("old")
+    )
 
 
 def with_links(links: DataFrame | None, labels: DataFrame | None, more: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -417,7 +461,9 @@ def jaccard_groups(docs: DataFrame, *, length: int = WORDS) -> DataFrame:
         return materialize(similar_pairs(pairs, sets).distinct(), f"{name}_links")
 
     buckets = shared.where("NOT large").select("key", "fp", "center").unionByName(
-        materialize(with_centers(shared.where("large").select("key", "fp")), "large_buckets")
+        materialize(
+            with_fewer_centers(materialize(with_centers(shared.where("large").select("key", "fp")), "centered")), "large_buckets"
+        )
     )
     links, labels, sets = None, None, None
     while buckets is not None:
@@ -437,7 +483,8 @@ def jaccard_groups(docs: DataFrame, *, length: int = WORDS) -> DataFrame:
                 sets = sets_with(many.select("fp").union(many.select("center")), "bucket")
             rare = materialize(rare_differences(many, sets), "differences")
             links, labels = with_links(links, labels, verified(pairs_of_differences(rare, sketches), "differing", sets))
-            buckets = materialize(with_centers(buckets_of_differences(rare)), "buckets")
+            nearest = materialize(with_nearest_centers(buckets_of_differences(rare)), "centered")
+            buckets = materialize(with_fewer_centers(nearest, "old"), "buckets")
             buckets = None if buckets.isEmpty() else buckets
         links, labels = with_links(links, labels, verified(few, "rest", here))
     owned = members.join(labels.withColumnRenamed("node", "fp"), "fp", "left").withColumn(
